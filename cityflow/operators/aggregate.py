@@ -33,19 +33,23 @@ def slot_counts(df: DataFrame, by, day: str, slot: str, name: str = "count") ->
 
 def peak_slot(df: DataFrame, by, day: str, slot: str, score: str | None = None,
               out: str = "peak_slot", peak_value: str | None = None) -> DataFrame:
-    """Peak slot per (series, day) in one aggregation.
+    """Peak slot per (series, day).
 
     ``score=None``: the slot with the most rows; otherwise the slot of the row
-    with the highest ``score``. Ties go to the earliest slot.
+    with the highest ``score``. Ties go to the earliest slot. Two levels: a
+    hash aggregation to (series, day, slot) with map-side combine, then the
+    tie-break over that small table (the struct ordering it needs would force
+    a sort-based aggregation if applied to raw rows).
     """
     by = list(by)
     if score is None:
         counts = slot_counts(df, by, day, slot, "_n")
         return counts.groupBy(*by, day).agg(earliest_max(slot, "_n").alias(out))
-    aggs = [earliest_max(slot, score).alias(out)]
+    slots = df.groupBy(*by, day, slot).agg(F.max(score).alias("_mx"))
+    aggs = [earliest_max(slot, "_mx").alias(out)]
     if peak_value:
-        aggs.append(F.max(score).alias(peak_value))
-    return df.groupBy(*by, day).agg(*aggs)
+        aggs.append(F.max("_mx").alias(peak_value))
+    return slots.groupBy(*by, day).agg(*aggs)
 
 
 def top_per_group(df: DataFrame, by, order, n: int = 1, rank_col: str | None = None) -> DataFrame:
@@ -102,10 +106,20 @@ def daily_stats(df: DataFrame, by, day: str, value: str, slot: str | None = None
                 mean: str = "avg_value", peak: str = "peak_value", peak_slot_name: str = "peak_value_hour",
                 mean_digits: int | None = None, half_even: bool = True) -> DataFrame:
     """Mean (exact sum / count) and max of ``value`` per (series, day), pooled
-    over all rows, plus the earliest slot that reaches the max — one
-    aggregation, no join."""
-    m = exact_avg(value) if mean_digits is None else exact_round_avg(value, mean_digits, half_even)
-    aggs = [m.alias(mean), F.max(value).alias(peak)]
-    if slot:
-        aggs.append(earliest_max(slot, value).alias(peak_slot_name))
-    return df.groupBy(*by, day).agg(*aggs)
+    over all rows, plus the earliest slot that reaches the max.
+
+    With ``slot`` this runs in two levels like :func:`daily_fact`: rows ->
+    (series, day, slot) partials in a hash aggregation, then the day level
+    over at most 24 rows per day. No join back to the rows.
+    """
+    by = list(by)
+    if not slot:
+        m = exact_avg(value) if mean_digits is None else exact_round_avg(value, mean_digits, half_even)
+        return df.groupBy(*by, day).agg(m.alias(mean), F.max(value).alias(peak))
+    partial = df.groupBy(*by, day, slot).agg(
+        F.sum(exact_units(value)).alias("_s"), F.count(value).alias("_k"), F.max(value).alias("_mx"))
+    units, count = F.sum("_s"), F.sum("_k")
+    m = (F.try_divide(units / F.lit(float(EXACT_SCALE)), count) if mean_digits is None
+         else rounded_units(units, count, mean_digits, half_even))
+    return partial.groupBy(*by, day).agg(
+        m.alias(mean), F.max("_mx").alias(peak), earliest_max(slot, "_mx").alias(peak_slot_name))

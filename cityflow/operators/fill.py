@@ -51,11 +51,17 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     part = by + [blk]
     tagged = df.withColumn(blk, F.expr(f"`{order}` div {int(block)}"))
 
-    w_prev = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_next = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Both directions use growing frames (unbounded preceding .. current row),
+    # which Spark evaluates incrementally; "next" is the same frame over the
+    # descending order. A frame ending at unbounded following would be
+    # re-aggregated per row (quadratic in the block size).
+    w_prev = Window.partitionBy(*part).orderBy(F.col(order).asc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    w_next = Window.partitionBy(*part).orderBy(F.col(order).desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     local = tagged.withColumns({
         **{f"_p_{c}": F.last(c, ignorenulls=True).over(w_prev) for c in cols},
-        **{f"_n_{c}": F.first(c, ignorenulls=True).over(w_next) for c in cols},
+        **{f"_n_{c}": F.last(c, ignorenulls=True).over(w_next) for c in cols},
     })
 
     def key_if_set(c):
@@ -65,12 +71,12 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
         *[F.min_by(c, key_if_set(c)).alias(f"_f_{c}") for c in cols],
         *[F.max_by(c, key_if_set(c)).alias(f"_l_{c}") for c in cols],
     )
-    w_before = Window.partitionBy(*by).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    w_after = Window.partitionBy(*by).orderBy(blk).rowsBetween(1, Window.unboundedFollowing)
+    w_before = Window.partitionBy(*by).orderBy(F.col(blk).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    w_after = Window.partitionBy(*by).orderBy(F.col(blk).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         *part,
         *[F.last(f"_l_{c}", ignorenulls=True).over(w_before).alias(f"_cp_{c}") for c in cols],
-        *[F.first(f"_f_{c}", ignorenulls=True).over(w_after).alias(f"_cn_{c}") for c in cols],
+        *[F.last(f"_f_{c}", ignorenulls=True).over(w_after).alias(f"_cn_{c}") for c in cols],
     )
     joined = local.join(carry, on=part, how="left")
 
@@ -88,11 +94,11 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
 
 def fill_ordered_global(df: DataFrame, cols, order: str, directions=("backward", "forward")) -> DataFrame:
     """The single-partition window form, kept only as the test reference."""
-    w_prev = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_next = Window.orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    w_prev = Window.orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_next = Window.orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def filled(c):
-        parts = {"forward": F.last(c, True).over(w_prev), "backward": F.first(c, True).over(w_next)}
+        parts = {"forward": F.last(c, True).over(w_prev), "backward": F.last(c, True).over(w_next)}
         exprs = [parts[d] for d in directions]
         return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
 

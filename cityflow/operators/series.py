@@ -14,10 +14,13 @@ from ..functions.calendar import as_date_lit, day_sequence
 
 
 def _fill_expr(c: str, by, order: str, directions):
-    prev_w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    next_w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Growing frames in both orders: evaluated incrementally by Spark.
+    prev_w = Window.partitionBy(*by).orderBy(F.col(order).asc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    next_w = Window.partitionBy(*by).orderBy(F.col(order).desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     parts = {"forward": F.last(c, ignorenulls=True).over(prev_w),
-             "backward": F.first(c, ignorenulls=True).over(next_w)}
+             "backward": F.last(c, ignorenulls=True).over(next_w)}
     exprs = [parts[d] for d in directions]
     return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
 
@@ -34,15 +37,33 @@ def densify(df: DataFrame, day: str, by, start, end, fill=("forward", "backward"
     The calendar join comes first: rows outside the window are dropped and
     cannot seed a fill. ``fill`` is applied per value column independently;
     ``defaults`` replaces what is still null. ``df`` has at most one row per
-    (series, day). Keys default to the series present in ``df``.
+    (series, day).
+
+    Without ``keys`` the calendar is generated from the rows themselves: each
+    observed day expands to the days up to the next observation (the first
+    from ``start``, the last to ``end``). Series with data in the window get
+    every day; no scan for the key list and no join. With ``keys`` (a
+    DataFrame of series, e.g. a dimension) every key gets the full calendar,
+    through a spine left join.
     """
     by = list(by)
     values = list(values) if values is not None else [c for c in df.columns if c not in by + [day]]
-    data = df.filter((F.col(day) >= as_date_lit(start)) & (F.col(day) <= as_date_lit(end)))
-    if keys is None:
-        keys = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
-    grid = spine(keys, by, day, start, end)
-    joined = grid.join(data.select(*by, day, *values), on=by + [day], how="left")
+    s_lit, e_lit = as_date_lit(start), as_date_lit(end)
+    data = df.filter((F.col(day) >= s_lit) & (F.col(day) <= e_lit)).select(*by, day, *values)
+    if keys is not None:
+        grid = spine(keys.select(*by).distinct() if by else keys, by, day, start, end)
+        joined = grid.join(data, on=by + [day], how="left")
+    else:
+        w = Window.partitionBy(*by).orderBy(day)
+        nxt = F.lead(day).over(w)
+        first = F.lag(day).over(w).isNull()
+        span = data.withColumns({
+            "_from": F.when(first, s_lit).otherwise(F.col(day)),
+            "_to": F.coalesce(F.date_sub(nxt, 1), e_lit),
+        })
+        grown = span.select(*by, day, *values, F.explode(day_sequence(F.col("_from"), F.col("_to"))).alias("_d"))
+        own = F.col("_d") == F.col(day)
+        joined = grown.select(*by, F.col("_d").alias(day), *[F.when(own, F.col(c)).alias(c) for c in values])
     if fill:
         joined = joined.withColumns({c: _fill_expr(c, by, day, fill) for c in values})
     if defaults:

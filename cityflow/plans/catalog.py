@@ -55,8 +55,15 @@ def query(name: str, sql: str | None):
     return register
 
 
+_TABLES: dict = {}
+
+
 def _t(spark, d, name):
-    return S.load(spark, d, name)
+    """Table handle, listed once per session (no data is cached)."""
+    key = (id(spark), d, name)
+    if key not in _TABLES:
+        _TABLES[key] = S.load(spark, d, name)
+    return _TABLES[key]
 
 
 # ---------------------------------------------------------------- SQL helpers

@@ -25,6 +25,9 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for error messages costs several JVM round trips per
+    # Column call while plans are built; off for batch jobs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
