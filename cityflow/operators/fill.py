@@ -7,8 +7,8 @@ key distribution, so no block can become a hot partition.
 
 1. per (series, block): nearest non-null before / after each row (windows
    partitioned by series and block);
-2. per (series, block): first and last non-null value (an aggregate over the
-   window output; same partitioning, no new shuffle of the rows);
+2. per (series, block): first and last non-null value (a hash aggregate with
+   map-side combine; only one row per block and task is shuffled);
 3. carry across blocks: a window over the block summaries (one row per
    block) gives the last non-null of all earlier blocks and the first
    non-null of all later blocks;
@@ -67,7 +67,9 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     def key_if_set(c):
         return F.when(F.col(c).isNotNull(), F.col(order))
 
-    summary = local.groupBy(*part).agg(
+    # From the tagged input, not the window output: a partial hash aggregate
+    # per map task instead of re-running the sorted block windows.
+    summary = tagged.groupBy(*part).agg(
         *[F.min_by(c, key_if_set(c)).alias(f"_f_{c}") for c in cols],
         *[F.max_by(c, key_if_set(c)).alias(f"_l_{c}") for c in cols],
     )

@@ -42,10 +42,12 @@ def clean_readings(raw: DataFrame, keep=(), ts_format: str | None = None) -> Dat
     )
 
 
-def air_daily(readings, start, end, series: str = "borough") -> DataFrame:
+def air_daily(readings, start, end, series: str = "borough", keys: DataFrame | None = None) -> DataFrame:
     """Dense daily mean / peak / peak hour per series over [start, end] (C8 per borough).
 
     ``readings`` may be a list of sensor tables; they are pooled as rows.
+    ``keys`` (a series dimension) gives every listed series the full calendar,
+    readings or not (values null, hour ``00:00:00``).
     """
     if isinstance(readings, (list, tuple)):
         readings = reduce(lambda a, b: a.unionByName(b), readings)
@@ -55,7 +57,7 @@ def air_daily(readings, start, end, series: str = "borough") -> DataFrame:
                         mean="avg_value_pm2_5", peak="peak_value_pm2_5", peak_slot_name="peak_value_hour",
                         mean_digits=1, half_even=True)
     return densify(stats, "date", [series], start, end, fill=("forward", "backward"),
-                   defaults={"peak_value_hour": NO_HOUR})
+                   defaults={"peak_value_hour": NO_HOUR}, keys=keys)
 
 
 def air_fact(dense: DataFrame, series: str = "borough", values=None, city: str = "NYC") -> DataFrame:

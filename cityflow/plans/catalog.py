@@ -285,8 +285,10 @@ def zone_membership(spark, sf):
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
     cust = _t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("pu"))
     supp = _t(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("do_"))
-    trips = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    # Resolve the pickup zone per order first (orders-sized join), so the
+    # lineitem-sized stream is shuffled only by order key and by supplier key.
+    order_pu = orders.join(cust, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "pu")
+    trips = (li.join(order_pu, li.l_orderkey == order_pu.o_orderkey)
              .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
              .select("l_orderkey", "l_linenumber", "pu", "do_"))
     zones = region_zones(spark, sf)
@@ -378,6 +380,22 @@ def reading_dense(spark, sf):
     return air_daily(r, AIR_START, AIR_END, series="sensor_id")
 
 
+def _dense_keyed_sql() -> str:
+    sql = _dense_sql("sensor_id").replace(
+        "(SELECT DISTINCT sensor_id FROM readings) k", "(SELECT c_custkey AS sensor_id FROM customer) k")
+    return sql + _dense_select("sensor_id")
+
+
+@query("reading_dense_keyed", _dense_keyed_sql())
+def reading_dense_keyed(spark, sf):
+    """Every registered sensor (customer keys as the sensor dimension) gets
+    the whole calendar; sensors without readings keep null values and the
+    default hour."""
+    r = keep_dates(S.readings_from_events(_t(spark, sf, "events")), "date", AIR_START, AIR_END)
+    sensors = _t(spark, sf, "customer").select(F.col("c_custkey").alias("sensor_id"))
+    return air_daily(r, AIR_START, AIR_END, series="sensor_id", keys=sensors)
+
+
 def _air_combine_sql() -> str:
     cols, avgs, peaks = [], [], []
     for m in ["avg_value_pm2_5", "peak_value_pm2_5", "peak_value_hour"]:

@@ -176,3 +176,13 @@ def test_name_rules():
     assert normalise_name("MIDDLE EAST") == "MIDDLEEAST"
     assert sanitise_name("^VIX") == "Vol_VIX"
     assert sanitise_name("Adj Close.x") == "Adj_Close_x"
+
+
+def test_with_order_key_is_pinned_and_unique(spark):
+    from cityflow.operators.fill import with_order_key
+    df = with_order_key(spark.range(0, 50, 1, 4).withColumnRenamed("id", "x"), "rid")
+    ids = [r.rid for r in df.collect()]
+    assert len(set(ids)) == 50
+    assert ids == [r.rid for r in df.collect()]  # same ids on re-evaluation (read from the checkpoint)
+    assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString() or \
+        "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
