@@ -487,7 +487,7 @@ def daily_change_q(spark, sf):
 
 # ---------------------------------------------------------------- nested + quality
 _WEATHER_SQL = """wdaily AS (SELECT event_type AS station, CAST(ts AS DATE) AS day, max(value) / 10.0 AS tmax,
-  min(value) / 10.0 AS tmin, sum(value) / 100.0 AS precip FROM events GROUP BY ALL),
+  min(value) / 10.0 AS tmin, """ + xsum("value") + """ / 100.0 AS precip FROM events GROUP BY ALL),
 wsilver AS (SELECT station, strftime(day, '%Y-%m-%d') AS time, CAST(tmax AS FLOAT) AS temperature_2m_max,
   CAST(tmin AS FLOAT) AS temperature_2m_min, CAST(precip AS FLOAT) AS precipitation_sum FROM wdaily)"""
 

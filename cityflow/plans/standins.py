@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import hour_text
+from ..functions.scalar import exact_sum, hour_text
 
 # The ticker names the market plan expects.
 TICKERS = {"view": "^VIX", "purchase": "SPY", "click": "XLI"}
@@ -100,7 +100,7 @@ def weather_docs_from_events(events: DataFrame) -> DataFrame:
     """One row per (station, month): ``daily`` struct of parallel arrays."""
     daily = (events.groupBy(F.col("event_type").alias("station"), F.to_date("ts").alias("day"))
              .agg((F.max("value") / 10.0).alias("tmax"), (F.min("value") / 10.0).alias("tmin"),
-                  (F.sum("value") / 100.0).alias("precip")))
+                  (exact_sum("value") / 100.0).alias("precip")))
     docs = (daily.groupBy("station", F.trunc("day", "MM").alias("month"))
             .agg(F.array_sort(F.collect_list(F.struct("day", "tmax", "tmin", "precip"))).alias("d")))
     return docs.select("station", "month", F.struct(
