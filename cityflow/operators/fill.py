@@ -47,6 +47,9 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     ``by`` (non-null series keys) restricts the fill to each series.
     """
     cols, by = list(cols), list(by)
+    kind = dict(df.dtypes).get(order)
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"order key {order!r} must be a unique integer column (got {kind}); see with_order_key")
     blk = "_fill_blk"
     part = by + [blk]
     tagged = df.withColumn(blk, F.expr(f"`{order}` div {int(block)}"))

@@ -54,7 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the cluster.
 
     The folder configured in ``spark.checkpoint.dir`` is used as is. Only
-    when nothing is configured (local tests) a fresh scratch folder is made.
+    when nothing is configured and the master is local (tests) a fresh
+    scratch folder is made; on a cluster a missing setting is an error.
     """
     configured = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -63,6 +64,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return spark.sparkContext.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        # A machine-local folder would not survive the loss of an executor.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     local = tempfile.mkdtemp(prefix="cityflow-ckpt-", dir=os.environ.get("CITYFLOW_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
