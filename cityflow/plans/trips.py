@@ -61,9 +61,12 @@ def clean_trips(raw: DataFrame, start, end, order: str, zones: DataFrame | None
 def daily_trip_stats(silver: DataFrame, series: str = "borough") -> DataFrame:
     """Long daily fact: one row per (series, Date) with all trip metrics (C6 core)."""
     cleaned = keep_range(silver, "total_amount", *GOLD_AMOUNT_CUT)
-    cleaned = cleaned.withColumn("formatted_time", hour_label("Time"))
-    return daily_fact(cleaned, [series], "Date", "formatted_time", TRIP_MEASURES,
+    # Group on the two-character hour and format the label once per day:
+    # "HH" -> "HH:00:00" is one-to-one and keeps the order, so the earliest
+    # busiest hour is the same.
+    long = daily_fact(cleaned, [series], "Date", "Time", TRIP_MEASURES,
                       count_name="total_trips", peak_name="peak_trip_hour")
+    return long.withColumn("peak_trip_hour", hour_label("peak_trip_hour"))
 
 
 def wide_trip_fact(long: DataFrame, series: str = "borough", values=None, city: str = "New_York") -> DataFrame:

@@ -186,3 +186,15 @@ def test_with_order_key_is_pinned_and_unique(spark):
     assert ids == [r.rid for r in df.collect()]  # same ids on re-evaluation (read from the checkpoint)
     assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString() or \
         "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_air_daily_pools_sensor_tables_as_rows(spark):
+    """U1 + Q11: two sensor tables of one borough are pooled per reading, not per sensor."""
+    from cityflow.plans.air import air_daily
+    d = dt.date(2024, 1, 1)
+    s1 = spark.createDataFrame([("Bronx", d, "01:00:00", 1.0), ("Bronx", d, "02:00:00", 2.0)],
+                               "borough string, date date, time string, pm_2_5_value double")
+    s2 = spark.createDataFrame([("Bronx", d, "03:00:00", 6.0)],
+                               "borough string, date date, time string, pm_2_5_value double")
+    r = air_daily([s1, s2], d, d).collect()[0]
+    assert (r.avg_value_pm2_5, r.peak_value_pm2_5, r.peak_value_hour) == (3.0, 6.0, "03:00:00")
