@@ -5,13 +5,13 @@ is cut into fixed-width blocks (``key div block``): because the key is a
 unique integer, a block never holds more than ``block`` rows, whatever the
 key distribution, so no block can become a hot partition.
 
-1. per (series, block): nearest non-null before / after each row (windows
-   partitioned by series and block);
+1. per (series, block): nearest non-null in the first direction (one window
+   partitioned by series and block, one sort);
 2. per (series, block): first and last non-null value (a hash aggregate with
    map-side combine; only one row per block and task is shuffled);
 3. carry across blocks: a window over the block summaries (one row per
-   block) gives the last non-null of all earlier blocks and the first
-   non-null of all later blocks;
+   block) gives the nearest non-null of the blocks before (in the first
+   direction) and the series' edge value for the second direction;
 4. join the carry back on (series, block) — only the summary side moves —
    and coalesce.
 
@@ -54,18 +54,16 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     part = by + [blk]
     tagged = df.withColumn(blk, F.expr(f"`{order}` div {int(block)}"))
 
-    # Both directions use growing frames (unbounded preceding .. current row),
-    # which Spark evaluates incrementally; "next" is the same frame over the
-    # descending order. A frame ending at unbounded following would be
-    # re-aggregated per row (quadratic in the block size).
-    w_prev = Window.partitionBy(*part).orderBy(F.col(order).asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    w_next = Window.partitionBy(*part).orderBy(F.col(order).desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = tagged.withColumns({
-        **{f"_p_{c}": F.last(c, ignorenulls=True).over(w_prev) for c in cols},
-        **{f"_n_{c}": F.last(c, ignorenulls=True).over(w_next) for c in cols},
-    })
+    # The first direction is a growing frame (unbounded preceding .. current
+    # row) in its own order — evaluated incrementally; "next" is the same
+    # frame over the descending order. A frame ending at unbounded following
+    # would be re-aggregated per row (quadratic in the block size). The
+    # second direction only fills the edge gap the first leaves, where it
+    # equals the series' first / last non-null value: no second sort.
+    asc = directions[0] == "forward"
+    o = F.col(order).asc() if asc else F.col(order).desc()
+    w_local = Window.partitionBy(*part).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.withColumns({f"_p_{c}": F.last(c, ignorenulls=True).over(w_local) for c in cols})
 
     def key_if_set(c):
         return F.when(F.col(c).isNotNull(), F.col(order))
@@ -76,25 +74,22 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
         *[F.min_by(c, key_if_set(c)).alias(f"_f_{c}") for c in cols],
         *[F.max_by(c, key_if_set(c)).alias(f"_l_{c}") for c in cols],
     )
-    w_before = Window.partitionBy(*by).orderBy(F.col(blk).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    w_after = Window.partitionBy(*by).orderBy(F.col(blk).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *part,
-        *[F.last(f"_l_{c}", ignorenulls=True).over(w_before).alias(f"_cp_{c}") for c in cols],
-        *[F.last(f"_f_{c}", ignorenulls=True).over(w_after).alias(f"_cn_{c}") for c in cols],
-    )
+    bo = F.col(blk).asc() if asc else F.col(blk).desc()
+    w_carry = Window.partitionBy(*by).orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*by).orderBy(bo).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    near, far = ("_l_", "_f_") if asc else ("_f_", "_l_")
+    carries = [F.last(f"{near}{c}", ignorenulls=True).over(w_carry).alias(f"_c_{c}") for c in cols]
+    if len(directions) == 2:
+        carries += [F.first(f"{far}{c}", ignorenulls=True).over(w_all).alias(f"_s_{c}") for c in cols]
+    carry = summary.select(*part, *carries)
     joined = local.join(carry, on=part, how="left")
 
     def filled(c):
-        prev = F.coalesce(F.col(f"_p_{c}"), F.col(f"_cp_{c}"))
-        nxt = F.coalesce(F.col(f"_n_{c}"), F.col(f"_cn_{c}"))
-        parts = {"forward": prev, "backward": nxt}
-        exprs = [parts[d] for d in directions]
-        return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
+        parts = [F.col(f"_p_{c}"), F.col(f"_c_{c}")] + ([F.col(f"_s_{c}")] if len(directions) == 2 else [])
+        return F.coalesce(*parts)
 
     out = joined.withColumns({c: filled(c) for c in cols})
-    temp = [blk] + [f"_{k}_{c}" for c in cols for k in ("p", "n", "cp", "cn")]
-    return out.drop(*temp).select(*df.columns)
+    return out.select(*df.columns)
 
 
 def fill_ordered_global(df: DataFrame, cols, order: str, directions=("backward", "forward")) -> DataFrame:

@@ -14,15 +14,23 @@ from ..functions.calendar import as_date_lit, day_sequence
 
 
 def _fill_expr(c: str, by, order: str, directions):
-    # Growing frames in both orders: evaluated incrementally by Spark.
-    prev_w = Window.partitionBy(*by).orderBy(F.col(order).asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    next_w = Window.partitionBy(*by).orderBy(F.col(order).desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    parts = {"forward": F.last(c, ignorenulls=True).over(prev_w),
-             "backward": F.last(c, ignorenulls=True).over(next_w)}
-    exprs = [parts[d] for d in directions]
-    return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
+    """Fill in ``directions`` order with one sort per series.
+
+    The first direction is a growing frame (incremental) in its own order.
+    The second direction can only fill the edge gap the first one leaves
+    (the leading gap after a forward fill, the trailing gap after a backward
+    fill), and there it equals the series' first (resp. last) non-null
+    value: a whole-partition frame over the same ordering, evaluated once
+    per partition, with no second sort.
+    """
+    asc = directions[0] == "forward"
+    o = F.col(order).asc() if asc else F.col(order).desc()
+    grow = Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    primary = F.last(c, ignorenulls=True).over(grow)
+    if len(directions) == 1:
+        return primary
+    whole = Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return F.coalesce(primary, F.first(c, ignorenulls=True).over(whole))
 
 
 def spine(df_keys: DataFrame, by, day: str, start, end) -> DataFrame:
