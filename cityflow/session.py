@@ -31,6 +31,22 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, ~100 TB input):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, large
+# scan splits, and skew splitting for joins where one key holds a large share
+# of the rows. Apply with ``build_session(extra=CLUSTER_CONF)`` or the
+# platform's job configuration.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "cityflow", extra: dict | None = None) -> SparkSession:
     """A session for tests, benchmarks and local runs.

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference pipelines are batch jobs only: no watermark, stream window,
+state or stream source/sink occurs in them, so nothing is built here (see
+README, "Not built, and why"). Every operator in ``cityflow.operators`` is a
+plain DataFrame -> DataFrame function and can be applied inside a
+``foreachBatch`` handler if landed files are ever processed incrementally.
+"""
