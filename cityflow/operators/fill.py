@@ -38,6 +38,27 @@ def with_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
     return pin(df.withColumn(name, F.monotonically_increasing_id()))
 
 
+FILE_ROW_BITS = 40  # rows per file below 2^40
+
+
+def with_file_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """Unique integer key in file order, recomputable without a checkpoint.
+
+    ``(file number << 40) + row index in file``, from the scan's hidden
+    ``_metadata`` columns; ``df`` must be a direct file scan. Files are
+    numbered by path with a window over one row per file (bounded by the
+    file count, not the row count) joined back by path. A re-executed task
+    reads the same file and row positions, so the ids never change.
+    """
+    path, row = "_order_file", "_order_row"
+    tagged = df.withColumns({path: F.col("_metadata.file_path"), row: F.col("_metadata.row_index")})
+    files = tagged.select(path).distinct()
+    numbered = files.withColumn("_order_fno", F.row_number().over(Window.orderBy(path)).cast("long") - 1)
+    keyed = tagged.join(numbered, on=path, how="inner")
+    key = F.shiftleft(F.col("_order_fno"), FILE_ROW_BITS) + F.col(row)
+    return keyed.withColumn(name, key).drop(path, row, "_order_fno")
+
+
 def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward", "forward"),
                  block: int = DEFAULT_BLOCK) -> DataFrame:
     """Fill nulls in ``cols`` from the next (``backward``) and/or previous

@@ -83,3 +83,28 @@ def test_membership_one_row_per_distinct_borough(spark):
     assert out.count() <= 2 * li.count()
     assert per_row.agg(F.max("count")).collect()[0][0] <= li.groupBy("l_orderkey", "l_linenumber").count() \
         .agg(F.max("count")).collect()[0][0]
+
+
+def test_file_order_key_is_deterministic_and_in_file_order(spark, scratch):
+    from cityflow.operators.fill import with_file_order_key
+    import os
+    # two files: keys unique, increasing within a file, file blocks in path order
+    for i in range(2):
+        spark.range(i * 100, i * 100 + 100, 1, 1).write.parquet(os.path.join(scratch, f"part={i}"))
+    df = spark.read.parquet(os.path.join(scratch, "part=0"), os.path.join(scratch, "part=1"))
+    keyed = with_file_order_key(df, "k")
+    a = sorted((r.k, r.id) for r in keyed.collect())
+    b = sorted((r.k, r.id) for r in keyed.collect())
+    assert a == b and len({k for k, _ in a}) == 200
+    assert [i for _, i in a] == list(range(200))
+
+
+def test_fill_by_file_order_equals_fill_by_event_id(spark):
+    from cityflow.operators.fill import with_file_order_key
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    keyed = with_file_order_key(ev, "k").select("k", "event_id",
+                                                F.when(F.col("user_id") % 3 == 0, F.col("value")).alias("v"))
+    by_file = {(r.event_id, r.v) for r in fill_ordered(keyed, ["v"], "k", block=64).collect()}
+    by_id = {(r.event_id, r.v) for r in fill_ordered_global(keyed.drop("k"), ["v"], "event_id").collect()}
+    # the driver's events file is stored in event_id order
+    assert by_file == by_id
