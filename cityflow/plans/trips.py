@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import hour_label, hour_text
 from ..operators.aggregate import daily_fact
 from ..operators.clean import keep_dates, keep_range, mask_outside, require
-from ..operators.fill import fill_ordered
+from ..operators.clean import union_conformed
+from ..operators.fill import fill_ordered, with_file_order_key
+from ..sources.readers import scan_merged
 from ..functions.scalar import matching
 from ..operators.widen import ratio, row_total, widen
 from ..operators.zones import assign_zones
@@ -32,6 +34,17 @@ TRIP_MEASURES = [
 TRIP_METRICS = ["total_trips"] + [m[0] for m in TRIP_MEASURES] + ["peak_trip_hour"]
 
 
+PICKUP_SOURCES = ["tpep_pickup_datetime", "lpep_pickup_datetime"]
+
+
+def raw_trips(spark, paths, fmt: str = "parquet", order: str = "row_id") -> DataFrame:
+    """Bronze trips of both fleets: one merged scan (missing columns null),
+    a file-order key for the fill, and ``pickup_datetime`` unified."""
+    df = with_file_order_key(scan_merged(spark, paths, fmt=fmt), order)
+    present = [c for c in PICKUP_SOURCES if c in df.columns]
+    return union_conformed([df], {"pickup_datetime": present})
+
+
 def clean_trips(raw: DataFrame, start, end, order: str, zones: DataFrame | None = None,
                 ts: str = "pickup_datetime", directions=("backward", "forward"), series: str = "borough",
                 broadcast_zones: bool | None = None) -> DataFrame:
