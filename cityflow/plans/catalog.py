@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import report_window, window_end, window_start
-from ..functions.scalar import fixed_text, hour_label, hour_text, normalise_name
+from ..functions.scalar import hour_label, hour_text, normalise_name
 from ..operators.aggregate import daily_fact, daily_stats, peak_slot, slot_counts, top_per_group
 from ..operators.calendar import numbered_days, spine_between, with_date_key, with_dim
 from ..operators.clean import coerce, keep_dates, keep_range, mask_outside, repair_sign, require, union_conformed
