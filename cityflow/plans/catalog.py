@@ -85,7 +85,7 @@ def fixed2(x: str) -> str:
 
 def xsum(x: str) -> str:
     """``exact_sum`` in DuckDB: fixed-point micro-units summed as integers."""
-    return f"(CAST(sum(CAST(round(({x}) * 1000000.0) AS BIGINT)) AS DOUBLE) / 1000000.0)"
+    return f"(CAST(sum(CAST(round_even(({x}) * 1000000.0, 0) AS BIGINT)) AS DOUBLE) / 1000000.0)"
 
 
 def xavg(x: str) -> str:
@@ -94,7 +94,7 @@ def xavg(x: str) -> str:
 
 def xround(x: str, n: str, digits: int, even: bool = False) -> str:
     """``rounded_units`` in DuckDB: exact rounding of sum(units)/n."""
-    units = f"sum(CAST(round(({x}) * 1000000.0) AS BIGINT))"
+    units = f"sum(CAST(round_even(({x}) * 1000000.0, 0) AS BIGINT))"
     return xround_units(units, n, digits, even)
 
 
@@ -201,7 +201,7 @@ def _city_sql() -> str:
     amount = r_up(tot("total_amount_earned"), 2)
     return (f", {trips} AS total_trips_New_York, {amount} AS total_amount_earned_New_York, "
             f"{r_up(tot('total_tips_earned'), 2)} AS total_tips_earned_New_York, "
-            f"{xround_units(f'CAST(round({amount} * 1000000.0) AS BIGINT)', trips, 2)} AS average_trip_cost_New_York")
+            f"{xround_units(f'CAST(round_even({amount} * 1000000.0, 0) AS BIGINT)', trips, 2)} AS average_trip_cost_New_York")
 
 
 @query("trip_wide_fact", _wide_sql(_city_sql()))
