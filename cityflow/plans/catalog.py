@@ -59,11 +59,17 @@ _TABLES: dict = {}
 
 
 def _t(spark, d, name):
-    """Table handle, listed once per session (no data is cached)."""
-    key = (id(spark), d, name)
-    if key not in _TABLES:
-        _TABLES[key] = S.load(spark, d, name)
-    return _TABLES[key]
+    """Table handle, listed once per live session (no data is cached).
+
+    The entry keeps its session, so a stopped or replaced session (even one
+    that happens to reuse an object id) gets a fresh read.
+    """
+    hit = _TABLES.get((d, name))
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    df = S.load(spark, d, name)
+    _TABLES[(d, name)] = (spark, df)
+    return df
 
 
 # ---------------------------------------------------------------- SQL helpers
