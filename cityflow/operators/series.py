@@ -58,8 +58,21 @@ def densify(df: DataFrame, day: str, by, start, end, fill=("forward", "backward"
     values = list(values) if values is not None else [c for c in df.columns if c not in by + [day]]
     s_lit, e_lit = as_date_lit(start), as_date_lit(end)
     data = df.filter((F.col(day) >= s_lit) & (F.col(day) <= e_lit)).select(*by, day, *values)
+    if keys is not None and by:
+        # Series with data take the path below (restricted to the keys); keys
+        # without any data in the window only get a calendar of nulls — no
+        # join of the full grid and no fill windows over it.
+        key_set = keys.select(*by).distinct()
+        present = densify(data.join(key_set, on=by, how="left_semi"), day, by, start, end, fill=fill,
+                          values=values)
+        types = dict(data.dtypes)
+        absent_keys = key_set.join(data.select(*by).distinct(), on=by, how="left_anti")
+        absent = spine(absent_keys, by, day, start, end).select(
+            *by, day, *[F.lit(None).cast(types[c]).alias(c) for c in values])
+        out = present.unionByName(absent)
+        return out.fillna(defaults) if defaults else out
     if keys is not None:
-        grid = spine(keys.select(*by).distinct() if by else keys, by, day, start, end)
+        grid = spine(keys, by, day, start, end)
         joined = grid.join(data, on=by + [day], how="left")
     else:
         w = Window.partitionBy(*by).orderBy(day)
