@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import exact_mphf, gam, langid, mixing, packing, templates, units, warc
+from cityflow.llm import embeddings, exact_mphf, forest, gam, langid, mixing, packing, templates, units, warc
 from cityflow.llm.common import table
 
 
@@ -40,19 +40,28 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_mphf.op6_exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.op7_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op8_langid(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.op9_jaccard(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op10_packing(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_warc, op2_line_dedup, op3_mixing, op4_quality, op5_substring_dedup, op6_exact_dedup,
-                            op8_language_id, op10_packing)}
+                            op7_embedding_near_dup, op8_language_id, op9_ngram_jaccard, op10_packing)}
 
 #: SQL for the queries it can express; the others are tested against brute force, round trips or held-out accuracy.
 ORACLE: dict[str, str] = {
     "op1_warc": warc.OP1_SQL, "op2_line_dedup": templates.OP2_SQL, "op3_mixing": mixing.OP3_SQL,
-    "op5_substring_dedup": units.OP5_SQL, "op6_exact_dedup": exact_mphf.OP6_SQL}
+    "op5_substring_dedup": units.OP5_SQL, "op6_exact_dedup": exact_mphf.OP6_SQL,
+    "op7_embedding_near_dup": embeddings.OP7_SQL, "op9_ngram_jaccard": forest.OP9_SQL}
