@@ -23,35 +23,50 @@ def _opaque(key: Column) -> Column:
 
 def masked(line: Column) -> Column:
     """One space between tokens; tokens with a digit are the variable field ``<*>``."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, LINE_SPACE, " ")), "[^ ]*[0-9][^ ]*", "<*>")
+    odd = line.rlike("[0-9\t\r\f\x0b]|  |^ | $")
+    clean = F.trim(F.regexp_replace(line, LINE_SPACE, " "))
+    return F.when(odd, F.regexp_replace(clean, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", "<*>")).otherwise(line)
 
 
 def _tree_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, pos, masked, n, leaf) of every line that enters the tree."""
+    """(id, text_hash, pos, leaf, line) of every line that enters the tree.
+
+    Lines are masked inside the array, before they become rows: what follows
+    uses the masked line several times and must not work it out again.
+    """
     rows = documents.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
-                            F.posexplode(lines_of(F.col(text_col))).alias("pos", "line"))
-    rows = rows.select("id", "text_hash", "pos", masked(F.col("line")).alias("masked"))
-    rows = rows.withColumn("n", F.when(F.col("masked") == "", 0).otherwise(F.length("masked") - F.length(F.translate("masked", " ", "")) + 1))
+                            F.posexplode(F.transform(lines_of(F.col(text_col)), masked)).alias("pos", "masked"))
+    tokens = F.when(F.col("masked") == "", 0).otherwise(F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
     path = F.substring_index("masked", " ", DEPTH)
-    return rows.where(F.col("n") >= MIN_TOKENS).withColumn("leaf", F.xxhash64("n", path))
+    return rows.where(tokens >= MIN_TOKENS).select("id", "text_hash", "pos", F.xxhash64(tokens, path).alias("leaf"),
+                                                   F.xxhash64("masked").alias("line"))
 
 
-def _templates(rows: DataFrame, seen: DataFrame, min_docs: int) -> DataFrame:
+def _templates(documents: DataFrame, found: DataFrame, seen: DataFrame, min_docs: int, id_col: str, text_col: str) -> DataFrame:
     """``(leaf, line, template)`` of the distinct lines that belong to their leaf's common template.
 
     Only leaves with several different lines and at least ``min_docs``
     sightings can yield one. In such a leaf each position's most frequent
     token over the different lines (ties: the smallest) is the template's
     token; a line agreeing in enough positions joins it, its other positions
-    being variable.
+    being variable. The tokens are read again from one document per line.
     """
     wide = (seen.groupBy("leaf", "line").agg(F.count("*").alias("docs")).groupBy("leaf")
             .agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
             .where((F.col("lines") > 1) & (F.col("docs") >= min_docs)).select(_opaque(F.col("leaf")).alias("leaf")))
-    lines = (rows.join(wide, "leaf", "left_semi").select("leaf", F.xxhash64("masked").alias("line"), "masked", "n")
-             .groupBy("leaf", "line").agg(F.min("masked").alias("masked"), F.min("n").alias("n")))
-    tokens = lines.select("leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-    tokens = materialise(tokens, "template-tokens")
+    place = F.min(F.struct("id", "text_hash", "pos")).alias("place")
+    wanted = found.join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(place)
+    wanted = wanted.groupBy(F.col("place.id").alias("__id"), F.col("place.text_hash").alias("__hash")).agg(
+        F.collect_list(F.struct(F.col("place.pos").alias("pos"), "leaf", "line")).alias("wanted"))
+    text = F.col(text_col)
+    lines = (documents.select(F.col(id_col).alias("id"), text.alias("text")).join(
+        wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")))
+        .select(lines_of(F.col("text")).alias("lines"), "wanted")
+        .select(F.explode(F.transform("wanted", lambda w: F.struct(
+            w["leaf"].alias("leaf"), w["line"].alias("line"), masked(F.get("lines", w["pos"])).alias("masked")))).alias("w")).select("w.*"))
+    lines = lines.dropDuplicates(["leaf", "line"])  # rows equal in id and text bring a line twice
+    tokens = materialise(lines.withColumn("n", F.size(F.split("masked", " "))).select(
+        "leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("at", "token")), "template-tokens")
     counts = tokens.groupBy("leaf", "at", "token").agg(F.count("*").alias("c"))
     modal = (counts.groupBy("leaf", "at").agg(F.min(F.struct(-F.col("c"), F.col("token"))).alias("best"))
              .select(_opaque(F.col("leaf")).alias("leaf"), "at", F.col("best.token").alias("modal")))
@@ -68,10 +83,9 @@ def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str
     corpus keeps one copy of everything. Lines of fewer than ``MIN_TOKENS``
     tokens stay. Null ids count as one document, before all others.
     """
-    rows = _tree_rows(documents, id_col, text_col)
-    found = materialise(rows.select("id", "text_hash", "pos", "leaf", F.xxhash64("masked").alias("line")), "lines")
+    found = materialise(_tree_rows(documents, id_col, text_col), "lines")
     seen = materialise(found.select("leaf", "line", "id").distinct(), "lines-seen")
-    names = materialise(_templates(rows, seen, min_docs), "templates")
+    names = materialise(_templates(documents, found, seen, min_docs, id_col, text_col), "templates")
     name = F.coalesce("template", "line")
     known = lambda df: df.join(names.withColumnsRenamed({"leaf": "l", "line": "i"}), F.col("leaf").eqNullSafe(F.col("l")) & (F.col("line") == F.col("i")), "left")
     kind = F.col("template").isNotNull()
