@@ -94,7 +94,8 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
 def _sets(documents: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``SETS`` rows of the wanted classes, their shingles read again from the document of the smallest id."""
-    reps = wanted.select(F.col("rep").alias("__rep"), "digest", "component", "weight")
+    # The wanted classes grow with the corpus, so the join is planned as a shuffle at every size.
+    reps = wanted.select(F.col("rep").alias("__rep"), "digest", "component", "weight").hint("merge")
     rows = documents.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")) \
         .join(reps, F.col("__id").eqNullSafe(F.col("__rep"))).select("__text", "digest", "component", "weight")
 
