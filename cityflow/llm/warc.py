@@ -62,7 +62,7 @@ def write_warc(records: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES
     A payload is cut into segments: the first in a response record, the rest
     in continuation records right after it, as the format provides; a row in
     flight is a segment, never a second copy of the payload. A revisit has no
-    payload. Spark's own writer commits the files, so tasks of lost executors
+    payload. Spark's own writer compresses and commits the files, so tasks of lost executors
     leave nothing behind. Line breaks and control characters in a uri are
     escaped; null uri and null payload are empty.
     """
@@ -90,7 +90,7 @@ def write_warc(records: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES
         line("Content-Length", F.octet_length("block")), F.lit(EOL))
     (rows.withColumn("block", block)
      .select(F.concat(F.encode(header, "UTF-8"), F.col("block")).cast("string").alias("value"))
-     .write.option("lineSep", EOL + EOL).text(path))
+     .write.option("lineSep", EOL + EOL).option("compression", "gzip").text(path))
 
 
 class _Stream:
