@@ -105,9 +105,9 @@ def drop_recurring(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     alike. Columns of those two names are replaced; an empty table stays
     empty.
     """
-    gone = recurring_lines(documents, id_col, text_col, min_docs).withColumnsRenamed({"id": "__id", "text_hash": "__hash"})
+    gone = recurring_lines(documents, id_col, text_col, min_docs).withColumnsRenamed({"id": "__id", "text_hash": "__hash", "dropped": "__dropped"})
     names = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    text, dropped = F.col(text_col), F.col("dropped")
+    text, dropped = F.col(text_col), F.col("__dropped")
     joined = documents.select(*names).join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
     return joined.select(*[without_lines(text, dropped).alias(c) if c == text_col else F.col(c) for c in names],
                          F.coalesce(F.size(lines_of(text)), F.lit(0)).alias("n_lines"),

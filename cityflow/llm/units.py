@@ -74,25 +74,25 @@ def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = MI
     """
     marked = mark_repeats(materialise(unit_table(documents, unit, min_words, id_col, text_col), "units")).where("removed")
     gone = (marked.groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
-            .agg(F.sort_array(F.collect_set(F.struct("start", "end", "resume"))).alias("gone")))
+            .agg(F.sort_array(F.collect_set(F.struct("start", "end", "resume"))).alias("__gone")))
     names = [c for c in documents.columns if c not in ("removed_spans", "kept_spans")]
     text = F.col(text_col)
     joined = documents.select(*names).join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
     empty = F.array().cast("array<struct<start:bigint,end:bigint,resume:bigint>>")
-    joined = joined.withColumn("gone", F.coalesce("gone", empty))
+    joined = joined.withColumn("__gone", F.coalesce("__gone", empty))
     size = F.length(text).cast("long")
-    start = lambda k: F.when(k == 0, F.lit(0).cast("long")).otherwise(F.get("gone", k - 1)["resume"])
-    stop = lambda k: F.coalesce(F.get("gone", k)["start"], size)
-    spans = F.filter(F.transform(F.sequence(F.lit(0), F.size("gone")), lambda k: F.struct(start(k).alias("start"), stop(k).alias("end"))),
+    start = lambda k: F.when(k == 0, F.lit(0).cast("long")).otherwise(F.get("__gone", k - 1)["resume"])
+    stop = lambda k: F.coalesce(F.get("__gone", k)["start"], size)
+    spans = F.filter(F.transform(F.sequence(F.lit(0), F.size("__gone")), lambda k: F.struct(start(k).alias("start"), stop(k).alias("end"))),
                      lambda s: s["end"] > s["start"])
-    removed = F.transform("gone", lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end")))
+    removed = F.transform("__gone", lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     out = joined.withColumns({"kept_spans": F.when(text.isNull(), none).otherwise(spans), "removed_spans": removed})
     # A text that lost its last unit ends at the separator before it.
-    tail = (F.size("gone") > 0) & (F.element_at("gone", F.when(F.size("gone") > 0, -1).otherwise(F.lit(None)))["end"] == size)
+    tail = (F.size("__gone") > 0) & (F.element_at("__gone", F.when(F.size("__gone") > 0, -1).otherwise(F.lit(None)))["end"] == size)
     cut = _spliced(text_col)
     return out.withColumn("__t", cut).select(
-        *[F.when(F.size("gone") == 0, text).when(tail, F.regexp_replace("__t", "\n\\s*$" if unit == "paragraph" else "\n$", "")).otherwise(F.col("__t")).alias(c)
+        *[F.when(F.size("__gone") == 0, text).when(tail, F.regexp_replace("__t", "\n\\s*$" if unit == "paragraph" else "\n$", "")).otherwise(F.col("__t")).alias(c)
           if c == text_col else F.col(c) for c in names], "removed_spans", "kept_spans")
 
 

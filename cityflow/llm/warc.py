@@ -100,7 +100,7 @@ class _Stream:
         from pyarrow import fs
         local = re.sub(r"^file:/+", "/", path)
         system, name = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
-        raw = system.open_input_stream(name, buffer_size=1 << 20)
+        raw = system.open_input_stream(name, compression=None, buffer_size=1 << 20)
         self._in = io.BufferedReader(gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw, 1 << 20)
 
     def header(self) -> dict[str, str] | None:
