@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -27,14 +26,6 @@ def hour_label(hour) -> Column:
     return F.concat(F.lpad(_col(hour).cast("string"), 2, "0"), F.lit(":00:00"))
 
 
-def round_half_up(c, digits: int) -> Column:
-    return F.round(_col(c), digits)
-
-
-def round_half_even(c, digits: int) -> Column:
-    return F.bround(_col(c), digits)
-
-
 def fixed_text(c, digits: int = 2) -> Column:
     """Fixed-point text; null stays null (plain ``format_string`` gives 'nu')."""
     c = _col(c)
@@ -67,65 +58,72 @@ def coerced_timestamp(c, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
 
 
+def utc_timestamp(c, fmt: str | None = None) -> Column:
+    """Text to the UTC wall-clock time whatever the session zone; text without an offset is UTC already."""
+    text = _col(c).cast("string")
+    moment = coerced_timestamp(text, fmt)
+    return F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)$"), F.to_utc_timestamp(moment, F.current_timezone())).otherwise(moment)
+
+
 # Sums of doubles depend on the order rows are added in, which changes with
 # partitioning; a result rounded to cents can flip at a tie (411.345 summed as
-# 411.34499...). Measures are therefore summed as fixed-point longs (exact,
-# order-independent). A group overflows only beyond 9.2e12 units / scale, and
-# ANSI mode raises instead of wrapping.
-EXACT_SCALE = 1_000_000
+# 411.34499...). Values that are rounded afterwards are therefore summed as
+# decimals. A group with NaN, infinite or huge values is summed as doubles.
+SUM_TYPE, SUM_MAX = "decimal(28,10)", 1e17
+
 
+def _odd(c) -> Column:
+    x = _col(c).cast("double")
+    return F.isnan(x) | (F.abs(x) >= SUM_MAX)
 
-def exact_units(c, scale: int = EXACT_SCALE) -> Column:
-    """Per-row value in 1/scale units as a long (nearest, ties to even).
 
-    ``rint`` is one machine instruction; ``round`` on a double goes through
-    a decimal string per row, which dominates a scan-heavy aggregation.
-    """
-    return F.rint(_col(c) * F.lit(float(scale))).cast("long")
+def sum_parts(c, name: str) -> list[Column]:
+    """Aggregates a rounded sum or mean is made of: decimal sum, double sum, odd values, values."""
+    x = _col(c)
+    return [F.sum(F.when(~_odd(c), x.cast(SUM_TYPE))).alias(f"_s_{name}"), F.sum(x.cast("double")).alias(f"_d_{name}"),
+            F.count_if(_odd(c)).alias(f"_o_{name}"), F.count(x).alias(f"_k_{name}")]
 
 
-def exact_sum(c, scale: int = EXACT_SCALE) -> Column:
-    """Aggregate: order-independent sum (double result)."""
-    return F.sum(exact_units(c, scale)) / F.lit(float(scale))
+def merged_parts(name: str) -> tuple[Column, Column, Column, Column]:
+    """Sums of the partial aggregates of :func:`sum_parts`."""
+    return tuple(F.sum(f"_{x}_{name}") for x in "sdok")
 
 
-def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
-    """Aggregate: exact sum / count of non-null values (null when none)."""
-    return F.try_divide(exact_sum(c, scale), F.count(_col(c)))
+def rounded_parts(parts, digits: int, mean: bool, half_even: bool = False) -> Column:
+    """Rounded sum or mean from (decimal sum, double sum, odd values, values); null without values."""
+    exact, plain, odd, count = parts
+    tidy = F.bround if half_even else F.round
+    if mean:
+        exact, plain = F.try_divide(exact, count.cast("decimal(20,0)")), F.try_divide(plain, count)
+    return F.when(count > 0, F.when(odd > 0, tidy(plain, digits)).otherwise(tidy(F.coalesce(exact, F.lit(0)), digits).cast("double")))
 
 
-def rounded_units(units, count, digits: int, half_even: bool = False, scale: int = EXACT_SCALE) -> Column:
-    """``round(units / (count * scale), digits)`` decided in integer arithmetic.
+def _parts(c):
+    x = _col(c)
+    return F.sum(F.when(~_odd(c), x.cast(SUM_TYPE))), F.sum(x.cast("double")), F.count_if(_odd(c)), F.count(x)
 
-    ``units`` is a sum of :func:`exact_units`; with ``count = 1`` this rounds
-    a sum, otherwise a mean. Half-up rounds away from zero (as ``round``),
-    ``half_even`` as ``bround``. Null when count is 0 or null. Applied to
-    aggregated values only, once per group.
-    """
-    if scale % (10 ** digits):
-        raise ValueError("digits beyond the fixed-point scale")
-    units, count = _col(units), _col(count)
-    step = count.cast("long") * F.lit(scale // 10 ** digits)
-    a = F.abs(units)
-    r = a % step
-    q = ((a - r).cast("decimal(38,0)") / step.cast("decimal(38,0)")).cast("long")  # exact: divisible
-    if half_even:
-        bump = (r * 2 > step) | ((r * 2 == step) & (q % 2 == 1))
-    else:
-        bump = r * 2 >= step
-    q = q + bump.cast("long")
-    signed = F.when(units < 0, -q).otherwise(q)
-    return F.when(count > 0, signed / F.lit(float(10 ** digits)))
+
+def exact_sum(c) -> Column:
+    """Aggregate: sum that does not depend on the order of the rows (as a double)."""
+    exact, plain, odd, count = _parts(c)
+    return F.when(count > 0, F.when(odd > 0, plain).otherwise(exact.cast("double")))
 
 
 def exact_round_sum(c, digits: int, half_even: bool = False) -> Column:
-    """Aggregate: exact sum of ``c`` rounded to ``digits``."""
-    return rounded_units(F.sum(exact_units(c)), F.lit(1), digits, half_even)
+    """Aggregate: sum of ``c`` rounded to ``digits``."""
+    return rounded_parts(_parts(c), digits, False, half_even)
 
 
 def exact_round_avg(c, digits: int, half_even: bool = False) -> Column:
-    """Aggregate: exact mean of ``c`` rounded to ``digits``."""
-    return rounded_units(F.sum(exact_units(c)), F.count(_col(c)), digits, half_even)
+    """Aggregate: mean of ``c`` rounded to ``digits``."""
+    return rounded_parts(_parts(c), digits, True, half_even)
+
+
+def rounded_ratio(num, den, digits: int) -> Column:
+    """num / den rounded half-up on the decimal form; null for a zero or null den."""
+    num, den = _col(num), _col(den)
+    exact = F.round(F.try_divide(num.cast(SUM_TYPE), den.cast("decimal(20,0)")), digits).cast("double")
+    return F.when(_odd(num), F.round(F.try_divide(num, den), digits)).otherwise(exact)
 
 
 def row_total(cols) -> Column:
@@ -164,11 +162,6 @@ def normalise_name(name: str) -> str:
     return name
 
 
-def normalised_series(c) -> Column:
-    """Column form of :func:`normalise_name`."""
-    return F.regexp_replace(F.regexp_replace(_col(c), r"^/+|/+$", ""), "[_ ]", "")
-
-
 def sanitise_name(name: str, rules=HEADER_RULES) -> str:
     for old, new in rules:
         name = name.replace(old, new)
@@ -178,8 +171,3 @@ def sanitise_name(name: str, rules=HEADER_RULES) -> str:
 def matching(columns, text: str) -> list[str]:
     """Columns whose name contains ``text`` (in column order)."""
     return [c for c in columns if text in c]
-
-
-def matching_regex(columns, pattern: str) -> list[str]:
-    rx = re.compile(pattern)
-    return [c for c in columns if rx.search(c)]

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import (EXACT_SCALE, exact_avg, exact_round_avg, exact_round_sum, exact_sum,
-                                exact_units, rounded_units)
+from ..functions.scalar import exact_round_avg, exact_round_sum, merged_parts, rounded_parts, sum_parts
 
 
 def _c(x) -> Column:
@@ -67,14 +66,12 @@ def daily_fact(df: DataFrame, by, day: str, slot: str, measures, count_name: str
 
     ``measures``: list of ``(out, how, col, digits)`` with ``how`` in
     ``avg | sum``; ``digits=None`` leaves the value unrounded (half-up otherwise).
-    Averages ignore nulls; the count is of rows. Sums are exact fixed-point
-    (see ``functions.scalar.EXACT_SCALE``), so results do not depend on how
-    rows are partitioned.
+    Averages ignore nulls; the count is of rows. Rounded values are formed
+    from decimal sums, so they do not depend on how rows are partitioned.
     """
     by = list(by)
-    scale = float(EXACT_SCALE)
     if not peak_name:
-        exact = {"avg": (exact_avg, exact_round_avg), "sum": (exact_sum, exact_round_sum)}
+        exact = {"avg": (F.avg, exact_round_avg), "sum": (F.sum, exact_round_sum)}
         aggs = [F.count(F.lit(1)).alias(count_name)]
         for out, how, c, digits in measures:
             plain, rounded = exact[how]
@@ -83,19 +80,18 @@ def daily_fact(df: DataFrame, by, day: str, slot: str, measures, count_name: str
     cols = sorted({m[2] for m in measures})
     partial_aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:
-        partial_aggs += [F.sum(exact_units(c)).alias(f"_s_{c}"), F.count(c).alias(f"_k_{c}")]
+        partial_aggs += sum_parts(c, c)
     partial = df.groupBy(*by, day, slot).agg(*partial_aggs)
 
     final_aggs = [F.sum("_n").alias(count_name)]
     for out, how, c, digits in measures:
-        units = F.sum(f"_s_{c}")
-        count = F.lit(1) if how == "sum" else F.sum(f"_k_{c}")
         if how not in ("sum", "avg"):
             raise ValueError(f"unknown measure {how!r}")
+        parts = merged_parts(c)
         if digits is None:
-            v = F.try_divide(units / F.lit(scale), count)
+            v = parts[1] if how == "sum" else F.try_divide(parts[1], parts[3])
         else:
-            v = rounded_units(units, count, digits)
+            v = rounded_parts(parts, digits, how == "avg")
         final_aggs.append(v.alias(out))
     if peak_name:
         final_aggs.append(earliest_max(slot, "_n").alias(peak_name))
@@ -105,7 +101,7 @@ def daily_fact(df: DataFrame, by, day: str, slot: str, measures, count_name: str
 def daily_stats(df: DataFrame, by, day: str, value: str, slot: str | None = None,
                 mean: str = "avg_value", peak: str = "peak_value", peak_slot_name: str = "peak_value_hour",
                 mean_digits: int | None = None, half_even: bool = True) -> DataFrame:
-    """Mean (exact sum / count) and max of ``value`` per (series, day), pooled
+    """Mean (sum / count) and max of ``value`` per (series, day), pooled
     over all rows, plus the earliest slot that reaches the max.
 
     With ``slot`` this runs in two levels like :func:`daily_fact`: rows ->
@@ -114,12 +110,11 @@ def daily_stats(df: DataFrame, by, day: str, value: str, slot: str | None = None
     """
     by = list(by)
     if not slot:
-        m = exact_avg(value) if mean_digits is None else exact_round_avg(value, mean_digits, half_even)
+        m = F.avg(value) if mean_digits is None else exact_round_avg(value, mean_digits, half_even)
         return df.groupBy(*by, day).agg(m.alias(mean), F.max(value).alias(peak))
     partial = df.groupBy(*by, day, slot).agg(
-        F.sum(exact_units(value)).alias("_s"), F.count(value).alias("_k"), F.max(value).alias("_mx"))
-    units, count = F.sum("_s"), F.sum("_k")
-    m = (F.try_divide(units / F.lit(float(EXACT_SCALE)), count) if mean_digits is None
-         else rounded_units(units, count, mean_digits, half_even))
+        *sum_parts(value, "v"), F.max(value).alias("_mx"))
+    parts = merged_parts("v")
+    m = F.try_divide(parts[1], parts[3]) if mean_digits is None else rounded_parts(parts, mean_digits, True, half_even)
     return partial.groupBy(*by, day).agg(
         m.alias(mean), F.max("_mx").alias(peak), earliest_max(slot, "_mx").alias(peak_slot_name))

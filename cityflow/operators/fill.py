@@ -9,17 +9,20 @@ key distribution, so no block can become a hot partition.
    partitioned by series and block, one sort);
 2. per (series, block): first and last non-null value (a hash aggregate with
    map-side combine; only one row per block and task is shuffled);
-3. carry across blocks: a window over the block summaries (one row per
-   block) gives the nearest non-null of the blocks before (in the first
-   direction) and the series' edge value for the second direction;
+3. carry across blocks: the block summaries are grouped into blocks of
+   2^20 block numbers and carried within these, the groups' summaries
+   likewise, until few numbers are left; so no window ever holds more than
+   2^20 rows of a series, however sparse the keys are;
 4. join the carry back on (series, block) — only the summary side moves —
    and coalesce.
 
-The summary holds about rows / block rows (plus one per run of sparse keys).
+The summary holds about rows / block rows, one per row at most (very sparse keys).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,31 +44,82 @@ def with_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
 FILE_ROW_BITS = 40  # rows per file below 2^40
 
 
+def tag_file_order(df: DataFrame) -> DataFrame:
+    """File path and row position of a direct file scan as columns, which survive a union of scans."""
+    return df.withColumns({"_order_file": F.col("_metadata.file_path"), "_order_row": F.col("_metadata.row_index")})
+
+
 def with_file_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Unique integer key in file order, recomputable without a checkpoint.
 
     ``(file number << 40) + row index in file``, from the scan's hidden
-    ``_metadata`` columns; ``df`` must be a direct file scan. Files are
+    ``_metadata`` columns; ``df`` must be a direct file scan or a union of
+    scans that went through :func:`tag_file_order`. Files are
     numbered by path with a window over one row per file (bounded by the
     file count, not the row count) joined back by path. A re-executed task
     reads the same file and row positions, so the ids never change.
     """
     path, row = "_order_file", "_order_row"
-    tagged = df.withColumns({path: F.col("_metadata.file_path"), row: F.col("_metadata.row_index")})
+    tagged = df if path in df.columns else tag_file_order(df)
     files = tagged.select(path).distinct()
     numbered = files.withColumn("_order_fno", F.row_number().over(Window.orderBy(path)).cast("long") - 1)
     keyed = tagged.join(numbered, on=path, how="inner")
     key = F.shiftleft(F.col("_order_fno"), FILE_ROW_BITS) + F.col(row)
+    key = F.when(F.col("_order_fno") < (1 << (63 - FILE_ROW_BITS)), key).otherwise(
+        F.raise_error(F.lit("more files than the order key can number; merge files or raise the row limit")).cast("long"))
     return keyed.withColumn(name, key).drop(path, row, "_order_fno")
 
 
+CARRY_BITS = 20
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on) -> DataFrame:
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(right, same, "left").drop(*[f"_r_{c}" for c in on])
+
+
+def _carry(summary: DataFrame, cols, by, key: str, asc: bool, bits: int) -> DataFrame:
+    """Per summary row: ``_c_`` the nearest value of the rows before it, ``_s_`` the series' edge value.
+
+    ``key`` has ``bits`` bits; as long as these are many, rows are carried
+    within groups of 2^CARRY_BITS keys and the groups one level up.
+    """
+    near, far = ("_l_", "_f_") if asc else ("_f_", "_l_")
+    o = F.col(key).asc() if asc else F.col(key).desc()
+
+    def before(group):
+        return Window.partitionBy(*group).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+    if bits <= CARRY_BITS:
+        whole = Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return summary.select(*by, key, *[F.last(f"{near}{c}", ignorenulls=True).over(before(by)).alias(f"_c_{c}") for c in cols],
+                              *[F.first(f"{far}{c}", ignorenulls=True).over(whole).alias(f"_s_{c}") for c in cols])
+    up = f"{key}_up"
+    grouped = summary.withColumn(up, F.shiftright(key, CARRY_BITS))
+    local = grouped.select(*by, key, up, *[F.last(f"{near}{c}", ignorenulls=True).over(before([*by, up])).alias(f"_b_{c}") for c in cols])
+    above = _carry(_summary(grouped, cols, [*by, up], key, lambda c: (f"_f_{c}", f"_l_{c}")), cols, by, up, asc, bits - CARRY_BITS)
+    joined = _join_null_safe(local, above, [*by, up])
+    return joined.select(*by, key, *[F.coalesce(f"_b_{c}", f"_c_{c}").alias(f"_c_{c}") for c in cols], *[f"_s_{c}" for c in cols])
+
+
+def _summary(df: DataFrame, cols, group, order: str, ends) -> DataFrame:
+    """First and last non-null value of every group, in key order."""
+    aggs = []
+    for c in cols:
+        first, last = ends(c)
+        aggs += [F.min_by(first, F.when(F.col(first).isNotNull(), F.col(order))).alias(f"_f_{c}"),
+                 F.max_by(last, F.when(F.col(last).isNotNull(), F.col(order))).alias(f"_l_{c}")]
+    return df.groupBy(*group).agg(*aggs)
+
+
 def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward", "forward"),
                  block: int = DEFAULT_BLOCK) -> DataFrame:
     """Fill nulls in ``cols`` from the next (``backward``) and/or previous
     (``forward``) non-null value in ``order``; the first direction wins.
 
     ``order`` must be a unique integral key (use :func:`with_order_key`).
-    ``by`` (non-null series keys) restricts the fill to each series.
+    ``by`` restricts the fill to each series (a null key is a series).
+    ``block`` is rounded up to a power of two.
     """
     cols, by = list(cols), list(by)
     kind = dict(df.dtypes).get(order)
@@ -73,7 +127,8 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
         raise TypeError(f"order key {order!r} must be a unique integer column (got {kind}); see with_order_key")
     blk = "_fill_blk"
     part = by + [blk]
-    tagged = df.withColumn(blk, F.expr(f"`{order}` div {int(block)}"))
+    bits = max(1, (int(block) - 1).bit_length())
+    tagged = df.withColumn(blk, F.shiftright(F.col(order).cast("long"), bits))
 
     # The first direction is a growing frame (unbounded preceding .. current
     # row) in its own order — evaluated incrementally; "next" is the same
@@ -86,24 +141,11 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     w_local = Window.partitionBy(*part).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.withColumns({f"_p_{c}": F.last(c, ignorenulls=True).over(w_local) for c in cols})
 
-    def key_if_set(c):
-        return F.when(F.col(c).isNotNull(), F.col(order))
-
     # From the tagged input, not the window output: a partial hash aggregate
     # per map task instead of re-running the sorted block windows.
-    summary = tagged.groupBy(*part).agg(
-        *[F.min_by(c, key_if_set(c)).alias(f"_f_{c}") for c in cols],
-        *[F.max_by(c, key_if_set(c)).alias(f"_l_{c}") for c in cols],
-    )
-    bo = F.col(blk).asc() if asc else F.col(blk).desc()
-    w_carry = Window.partitionBy(*by).orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*by).orderBy(bo).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    near, far = ("_l_", "_f_") if asc else ("_f_", "_l_")
-    carries = [F.last(f"{near}{c}", ignorenulls=True).over(w_carry).alias(f"_c_{c}") for c in cols]
-    if len(directions) == 2:
-        carries += [F.first(f"{far}{c}", ignorenulls=True).over(w_all).alias(f"_s_{c}") for c in cols]
-    carry = summary.select(*part, *carries)
-    joined = local.join(carry, on=part, how="left")
+    summary = _summary(tagged, cols, part, order, lambda c: (c, c))
+    carry = _carry(summary, cols, by, blk, asc, 64 - bits)
+    joined = _join_null_safe(local, carry, part)
 
     def filled(c):
         parts = [F.col(f"_p_{c}"), F.col(f"_c_{c}")] + ([F.col(f"_s_{c}")] if len(directions) == 2 else [])
@@ -111,16 +153,3 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
 
     out = joined.withColumns({c: filled(c) for c in cols})
     return out.select(*df.columns)
-
-
-def fill_ordered_global(df: DataFrame, cols, order: str, directions=("backward", "forward")) -> DataFrame:
-    """The single-partition window form, kept only as the test reference."""
-    w_prev = Window.orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_next = Window.orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def filled(c):
-        parts = {"forward": F.last(c, True).over(w_prev), "backward": F.last(c, True).over(w_next)}
-        exprs = [parts[d] for d in directions]
-        return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
-
-    return df.withColumns({c: filled(c) for c in cols})

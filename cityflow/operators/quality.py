@@ -62,6 +62,13 @@ def run_suite(df: DataFrame, rules) -> DataFrame:
             .withColumn("success", F.col("unexpected_count") == 0))
 
 
+def fail_on(results: DataFrame) -> None:
+    """Raises with the names of failed rules (a result has one row per rule); writes go on without it."""
+    failed = [r["rule"] for r in results.where(~F.col("success")).select("rule").collect()]
+    if failed:
+        raise ValueError(f"data quality rules failed: {', '.join(failed)}")
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """success, success_percent, evaluated_expectations, unsuccessful_expectations."""
     n = F.count(F.lit(1))

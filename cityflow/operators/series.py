@@ -7,6 +7,8 @@ the reporting window (a few hundred rows), whatever the input size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,63 +35,42 @@ def _fill_expr(c: str, by, order: str, directions):
     return F.coalesce(primary, F.first(c, ignorenulls=True).over(whole))
 
 
-def spine(df_keys: DataFrame, by, day: str, start, end) -> DataFrame:
-    """One row per key and calendar day in [start, end] (explode, not a join)."""
-    return df_keys.select(*by, F.explode(day_sequence(as_date_lit(start), as_date_lit(end))).alias(day))
-
-
 def densify(df: DataFrame, day: str, by, start, end, fill=("forward", "backward"), defaults: dict | None = None,
             values=None, keys: DataFrame | None = None) -> DataFrame:
-    """Every (series, day) of [start, end] exactly once, gaps filled in order.
+    """Every day of [start, end] for every series, gaps filled in order.
 
-    The calendar join comes first: rows outside the window are dropped and
-    cannot seed a fill. ``fill`` is applied per value column independently;
-    ``defaults`` replaces what is still null. ``df`` has at most one row per
-    (series, day).
+    The calendar comes from the window: a series of ``df`` has every day even
+    if none of its rows lies in the window, and without series (``by=[]``)
+    the calendar is there even for an empty ``df``. Rows outside the window
+    are dropped and cannot seed a fill; several rows of a day all stay. With
+    ``keys`` (a DataFrame of series, e.g. a dimension) exactly its series get
+    the calendar. ``fill`` is applied per value column independently,
+    ``defaults`` replaces what is still null.
 
-    Without ``keys`` the calendar is generated from the rows themselves: each
-    observed day expands to the days up to the next observation (the first
-    from ``start``, the last to ``end``). Series with data in the window get
-    every day; no scan for the key list and no join. With ``keys`` (a
-    DataFrame of series, e.g. a dimension) every key gets the full calendar,
-    through a spine left join.
+    The rows of a series are gathered once (days of the window, for daily
+    rows), missing days are added there, and the fills reuse the same
+    partitioning; the input is read once.
     """
     by = list(by)
     values = list(values) if values is not None else [c for c in df.columns if c not in by + [day]]
+    types = dict(df.dtypes)
     s_lit, e_lit = as_date_lit(start), as_date_lit(end)
-    data = df.filter((F.col(day) >= s_lit) & (F.col(day) <= e_lit)).select(*by, day, *values)
+    date = F.col(day).cast("date")
+    entry = F.struct(date.alias("_day"), *[F.col(v).alias(f"_{i}") for i, v in enumerate(values)])
+    kind = "array<struct<_day:date" + "".join(f",_{i}:{types[v]}" for i, v in enumerate(values)) + ">>"
+    per = df.groupBy(*by).agg(F.collect_list(F.when((date >= s_lit) & (date <= e_lit), entry)).cast(kind).alias("_rows"))
     if keys is not None and by:
-        # Series with data take the path below (restricted to the keys); keys
-        # without any data in the window only get a calendar of nulls — no
-        # join of the full grid and no fill windows over it.
-        key_set = keys.select(*by).distinct()
-        present = densify(data.join(key_set, on=by, how="left_semi"), day, by, start, end, fill=fill,
-                          values=values)
-        types = dict(data.dtypes)
-        absent_keys = key_set.join(data.select(*by).distinct(), on=by, how="left_anti")
-        absent = spine(absent_keys, by, day, start, end).select(
-            *by, day, *[F.lit(None).cast(types[c]).alias(c) for c in values])
-        out = present.unionByName(absent)
-        return out.fillna(defaults) if defaults else out
-    if keys is not None:
-        grid = spine(keys, by, day, start, end)
-        joined = grid.join(data, on=by + [day], how="left")
-    else:
-        w = Window.partitionBy(*by).orderBy(day)
-        nxt = F.lead(day).over(w)
-        first = F.lag(day).over(w).isNull()
-        span = data.withColumns({
-            "_from": F.when(first, s_lit).otherwise(F.col(day)),
-            "_to": F.coalesce(F.date_sub(nxt, 1), e_lit),
-        })
-        grown = span.select(*by, day, *values, F.explode(day_sequence(F.col("_from"), F.col("_to"))).alias("_d"))
-        own = F.col("_d") == F.col(day)
-        joined = grown.select(*by, F.col("_d").alias(day), *[F.when(own, F.col(c)).alias(c) for c in values])
+        right = per.withColumnsRenamed({b: f"_k_{b}" for b in by})
+        same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"_k_{b}")) for b in by])
+        per = keys.select(*by).distinct().join(right, same, "left").select(*by, "_rows")
+    rows = F.coalesce(F.col("_rows"), F.array().cast(kind))
+    missing = F.array_except(day_sequence(s_lit, e_lit), F.transform(rows, lambda r: r["_day"]))
+    gaps = F.transform(missing, lambda d: F.struct(d.alias("_day"), *[F.lit(None).cast(types[v]).alias(f"_{i}") for i, v in enumerate(values)]))
+    out = per.select(*by, F.explode(F.concat(rows, gaps.cast(kind))).alias("_r")).select(
+        *by, F.col("_r._day").alias(day), *[F.col(f"_r._{i}").alias(v) for i, v in enumerate(values)])
     if fill:
-        joined = joined.withColumns({c: _fill_expr(c, by, day, fill) for c in values})
-    if defaults:
-        joined = joined.fillna(defaults)
-    return joined
+        out = out.withColumns({c: _fill_expr(c, by, day, fill) for c in values})
+    return out.fillna(defaults) if defaults else out
 
 
 def daily_change(df: DataFrame, col: str, order: str, by=(), first: float = 0.0, out: str | None = None) -> DataFrame:

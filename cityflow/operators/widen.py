@@ -1,7 +1,7 @@
 """Long -> wide facts and row-wise totals.
 
 ``widen`` replaces a fold of full outer joins over per-series tables with one
-pivot: one scan and one shuffle of the (already aggregated) long table,
+aggregation: one scan and one shuffle of the (already aggregated) long table,
 instead of one scan and two shuffles per series. ``full_fold`` stays for
 inputs that really are different tables.
 """
@@ -14,39 +14,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import normalise_name, row_greatest as _greatest, row_mean as _mean
-from ..functions.scalar import exact_units, rounded_units, safe_ratio
+from ..functions.scalar import rounded_ratio, safe_ratio
 from ..functions.scalar import row_total as _total
 
-MAX_SERIES = 10_000  # same bound Spark applies to pivot values it discovers
 
+def _quoted(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
 
-def series_values(df: DataFrame, series: str, limit: int = MAX_SERIES) -> list:
-    """Distinct non-null series labels, sorted; refuses more than ``limit``."""
-    rows = (df.select(series).where(F.col(series).isNotNull()).distinct()
-            .orderBy(series).limit(limit + 1).collect())
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values in {series!r}; pass values explicitly")
-    return [r[0] for r in rows]
 
-
-def widen(df: DataFrame, key, series: str, metrics, values=None, name=normalise_name,
-          sep: str = "_") -> DataFrame:
+def widen(df: DataFrame, key, series: str, metrics, values, name=normalise_name, sep: str = "_",
+          totals: dict | None = None) -> DataFrame:
     """One row per key, one column ``<metric><sep><name(series)>`` per metric
-    and series. ``df`` has at most one row per (key, series)."""
+    and series. ``df`` has at most one row per (key, series).
+
+    ``values`` lists the series that get columns (from a dimension or the
+    report's contract); nothing is read to find them. ``totals`` adds
+    aggregates over all series of a key, listed or not, from the same pass.
+    """
     key = [key] if isinstance(key, str) else list(key)
-    metrics = list(metrics)
     if values is None:
-        values = series_values(df, series)
-    values = list(values)
-    grouped = df.groupBy(*key).pivot(series, values)
-    wide = grouped.agg(*[F.first(m, ignorenulls=True).alias(m) for m in metrics])
-    renames = {}
-    for v in values:
-        for m in metrics:
-            src = str(v) if len(metrics) == 1 else f"{v}_{m}"
-            renames[src] = f"{m}{sep}{name(str(v))}"
-    ordered = key + [renames[str(v) if len(metrics) == 1 else f"{v}_{m}"] for m in metrics for v in values]
-    return wide.withColumnsRenamed(renames).select(*ordered)
+        raise ValueError("list the series that get columns in values")
+    out = [(f"{m}{sep}{name(str(v))}", m, v) for m in metrics for v in values]
+    names = [o for o, _, _ in out] + list(totals or {})
+    if len(set(names)) < len(names):
+        raise ValueError(f"two columns of the same name among {sorted(names)}")
+    aggs = [F.first(F.when(_quoted(series) == F.lit(v), _quoted(m)), ignorenulls=True).alias(o) for o, m, v in out]
+    return df.groupBy(*key).agg(*aggs, *[c.alias(o) for o, c in (totals or {}).items()])
 
 
 def full_fold(dfs, on) -> DataFrame:
@@ -56,27 +49,27 @@ def full_fold(dfs, on) -> DataFrame:
 
 
 def row_total(df: DataFrame, cols, out: str, digits: int | None = None) -> DataFrame:
-    v = _total(cols)
+    v = _total([_quoted(c) for c in cols])
     return df.withColumn(out, F.round(v, digits) if digits is not None else v)
 
 
 def row_mean(df: DataFrame, cols, out: str, digits: int | None = None, half_even: bool = False) -> DataFrame:
-    v = _mean(cols)
+    v = _mean([_quoted(c) for c in cols])
     if digits is not None:
         v = F.bround(v, digits) if half_even else F.round(v, digits)
     return df.withColumn(out, v)
 
 
 def row_greatest(df: DataFrame, cols, out: str) -> DataFrame:
-    return df.withColumn(out, _greatest(cols))
+    return df.withColumn(out, _greatest([_quoted(c) for c in cols]))
 
 
 def ratio(df: DataFrame, num: str, den: str, out: str, digits: int | None = None) -> DataFrame:
     """num / den (null for a zero or null den); with ``digits`` the quotient
-    is rounded half-up exactly (num taken at the fixed-point scale)."""
+    is rounded half-up on the decimal form."""
     if digits is None:
         return df.withColumn(out, safe_ratio(num, den))
-    return df.withColumn(out, rounded_units(exact_units(num), F.col(den), digits))
+    return df.withColumn(out, rounded_ratio(num, den, digits))
 
 
 def suffix_columns(df: DataFrame, suffix: str, keep, sep: str = "_") -> DataFrame:
@@ -84,8 +77,3 @@ def suffix_columns(df: DataFrame, suffix: str, keep, sep: str = "_") -> DataFram
     keep = {keep} if isinstance(keep, str) else set(keep)
     return df.withColumnsRenamed({c: f"{c}{sep}{suffix}" for c in df.columns if c not in keep})
 
-
-def sanitise_columns(df: DataFrame, rules=None) -> DataFrame:
-    from ..functions.scalar import HEADER_RULES, sanitise_name
-    rules = rules or HEADER_RULES
-    return df.withColumnsRenamed({c: sanitise_name(c, rules) for c in df.columns})

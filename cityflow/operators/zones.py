@@ -13,25 +13,23 @@ from pyspark.sql import functions as F
 
 
 def assign_zones(df: DataFrame, lookup: DataFrame, endpoint_cols, out: str = "borough",
-                 zone_col: str = "zone_id", label_col: str = "borough",
-                 broadcast_lookup: bool | None = None, drop_endpoints: bool = False) -> DataFrame:
+                 zone_col: str = "zone_id", label_col: str = "borough", drop_endpoints: bool = False) -> DataFrame:
     """One output row per (input row, distinct mapped label); unmapped -> no row.
 
-    ``broadcast_lookup=True`` asserts that the lookup has a fixed bound (a
-    zone list); ``None`` leaves the choice to the planner, which broadcasts
-    only when the measured size is under the threshold.
+    A zone may have several labels. The lookup becomes one row per zone with
+    its label set, joined once per endpoint; the planner broadcasts it only
+    when its measured size allows.
     """
     endpoint_cols = list(endpoint_cols)
-    labels = []
+    zones = lookup.where(F.col(zone_col).isNotNull()).groupBy(F.col(zone_col).alias("_zone")).agg(
+        F.collect_set(label_col).alias("_labels"))
+    none = F.array().cast("array<string>")
+    sets = []
     for i, e in enumerate(endpoint_cols):
-        lbl = f"_zone_lbl_{i}"
-        side = lookup.select(F.col(zone_col).alias(f"_zone_key_{i}"), F.col(label_col).alias(lbl))
-        if broadcast_lookup:
-            side = F.broadcast(side)
-        df = df.join(side, F.col(e) == F.col(f"_zone_key_{i}"), "left").drop(f"_zone_key_{i}")
-        labels.append(lbl)
-    member = F.array_distinct(F.array_compact(F.array(*[F.col(c) for c in labels])))
-    out_df = df.withColumn(out, F.explode(member)).drop(*labels)
+        side = zones.select(F.col("_zone").alias(f"_zone_{i}"), F.col("_labels").cast("array<string>").alias(f"_labels_{i}"))
+        df = df.join(side, F.col(e) == F.col(f"_zone_{i}"), "left").drop(f"_zone_{i}")
+        sets.append(F.coalesce(F.col(f"_labels_{i}"), none))
+    out_df = df.withColumn(out, F.explode(F.array_distinct(F.flatten(F.array(*sets))))).drop(*[f"_labels_{i}" for i in range(len(sets))])
     return out_df.drop(*endpoint_cols) if drop_endpoints else out_df
 
 

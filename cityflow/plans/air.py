@@ -8,14 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import coerced_double, coerced_timestamp, hour_text, repaired_sign
+from ..functions.scalar import coerced_double, hour_text, matching, repaired_sign, utc_timestamp
 from ..operators.aggregate import daily_stats
 from ..operators.clean import require
 from ..operators.series import densify
-from ..functions.scalar import matching
 from ..operators.widen import row_greatest, row_mean, widen
 
-SILVER_COLS = ["name", "pm_2_5_value", "units", "date", "time"]
 AIR_METRICS = ["avg_value_pm2_5", "peak_value_pm2_5", "peak_value_hour"]
 # Hour used when a series has no reading at all; sign-repair floor.
 NO_HOUR = "00:00:00"
@@ -30,7 +28,7 @@ def clean_readings(raw: DataFrame, keep=(), ts_format: str | None = None) -> Dat
         F.col("parameter.name").alias("name"),
         F.col("parameter.units").alias("units"),
         coerced_double("value").alias("pm_2_5_value"),
-        coerced_timestamp(F.col("period.datetimeFrom.utc"), ts_format).alias("datetime"),
+        utc_timestamp(F.col("period.datetimeFrom.utc"), ts_format).alias("datetime"),
     )
     ok = require(parsed, ["pm_2_5_value", "datetime"])
     return ok.select(

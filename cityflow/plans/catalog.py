@@ -15,16 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import report_window, window_end, window_start
-from ..functions.scalar import hour_label, hour_text, normalise_name
+from ..functions.scalar import exact_round_sum, hour_label, hour_text, normalise_name
 from ..operators.aggregate import daily_fact, daily_stats, peak_slot, slot_counts, top_per_group
 from ..operators.calendar import numbered_days, spine_between, with_date_key, with_dim
 from ..operators.clean import coerce, keep_dates, keep_range, mask_outside, repair_sign, require, union_conformed
-from ..operators.fill import fill_ordered
+from ..operators.fill import fill_ordered, with_file_order_key
 from ..operators.nested import parse_json, rows_as_json
 from ..operators.quality import alert_rows, between, not_null, report_text, run_suite, summarise
 from ..operators.series import daily_change
 from ..operators.widen import full_fold, row_total, suffix_columns, widen
 from ..operators.zones import assign_zones
+from ..session import pin
 from . import standins as S
 from .air import air_daily, air_fact, clean_readings
 from .finance import fx_daily, market_daily, quote_table
@@ -55,21 +56,8 @@ def query(name: str, sql: str | None):
     return register
 
 
-_TABLES: dict = {}
-
-
 def _t(spark, d, name):
-    """Table handle, listed once per live session (no data is cached).
-
-    The entry keeps its session, so a stopped or replaced session (even one
-    that happens to reuse an object id) gets a fresh read.
-    """
-    hit = _TABLES.get((d, name))
-    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
-        return hit[1]
-    df = S.load(spark, d, name)
-    _TABLES[(d, name)] = (spark, df)
-    return df
+    return S.load(spark, d, name)
 
 
 # ---------------------------------------------------------------- SQL helpers
@@ -90,28 +78,18 @@ def fixed2(x: str) -> str:
 
 
 def xsum(x: str) -> str:
-    """``exact_sum`` in DuckDB: fixed-point micro-units summed as integers."""
-    return f"(CAST(sum(CAST(round_even(({x}) * 1000000.0, 0) AS BIGINT)) AS DOUBLE) / 1000000.0)"
+    """Sum in decimals."""
+    return f"CAST(sum(CAST(({x}) AS DECIMAL(28,10))) AS DOUBLE)"
 
 
-def xavg(x: str) -> str:
-    return f"({xsum(x)} / count({x}))"
+def xround(x: str, digits: int) -> str:
+    """Rounded sum in decimals."""
+    return f"CAST(round(sum(CAST(({x}) AS DECIMAL(28,10))), {digits}) AS DOUBLE)"
 
 
-def xround(x: str, n: str, digits: int, even: bool = False) -> str:
-    """``rounded_units`` in DuckDB: exact rounding of sum(units)/n."""
-    units = f"sum(CAST(round_even(({x}) * 1000000.0, 0) AS BIGINT))"
-    return xround_units(units, n, digits, even)
-
-
-def xround_units(units: str, n: str, digits: int, even: bool = False) -> str:
-    step = f"(CAST({n} AS HUGEINT) * {10 ** (6 - digits)})"
-    a, q = f"abs({units})", f"(abs({units}) // {step})"
-    r2 = f"(2 * (abs({units}) % {step}))"
-    bump = (f"CASE WHEN {r2} > {step} OR ({r2} = {step} AND {q} % 2 = 1) THEN 1 ELSE 0 END" if even
-            else f"CASE WHEN {r2} >= {step} THEN 1 ELSE 0 END")
-    return (f"CASE WHEN {n} > 0 THEN CAST((CASE WHEN {units} < 0 THEN -1 ELSE 1 END) * ({q} + {bump}) AS DOUBLE)"
-            f" / {float(10 ** digits)} END")
+def xmean(x: str, digits: int, even: bool = False) -> str:
+    """Rounded mean of the decimal sum."""
+    return f"CAST(round{'_even' * even}(CAST({xsum(x)} / count({x}) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
 def d(x: dt.date) -> str:
@@ -152,11 +130,11 @@ def trip_hourly_counts(spark, sf):
 
 _STATS_SQL = ", ".join([
     "count(*) AS total_trips",
-    f"{xround('total_amount', 'count(total_amount)', 2)} AS average_trip_cost",
-    f"{xround('total_amount', '1', 2)} AS total_amount_earned",
-    f"{xround('tip_amount', '1', 2)} AS total_tips_earned",
-    f"{xround('trip_distance', 'count(trip_distance)', 2)} AS average_trip_distance",
-    f"{xround('passenger_count', 'count(passenger_count)', 1)} AS average_passengers",
+    f"{xmean('total_amount', 2)} AS average_trip_cost",
+    f"{xround('total_amount', 2)} AS total_amount_earned",
+    f"{xround('tip_amount', 2)} AS total_tips_earned",
+    f"{xmean('trip_distance', 2)} AS average_trip_distance",
+    f"{xmean('passenger_count', 1)} AS average_passengers",
 ])
 
 
@@ -207,7 +185,7 @@ def _city_sql() -> str:
     amount = r_up(tot("total_amount_earned"), 2)
     return (f", {trips} AS total_trips_New_York, {amount} AS total_amount_earned_New_York, "
             f"{r_up(tot('total_tips_earned'), 2)} AS total_tips_earned_New_York, "
-            f"{xround_units(f'CAST(round_even({amount} * 1000000.0, 0) AS BIGINT)', trips, 2)} AS average_trip_cost_New_York")
+            f"CAST(round(CAST(({amount}) / ({trips}) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_trip_cost_New_York")
 
 
 @query("trip_wide_fact", _wide_sql(_city_sql()))
@@ -217,7 +195,8 @@ def trip_wide_fact(spark, sf):
 
 @query("wide_full_join", _wide_sql(""))
 def wide_full_join(spark, sf):
-    long = daily_trip_stats(trips_silver(spark, sf), "borough")
+    # The fold is for separate tables; the long fact is written once, not computed per series.
+    long = pin(daily_trip_stats(trips_silver(spark, sf), "borough"))
     parts = [suffix_columns(long.filter(F.col("borough") == v).drop("borough"), normalise_name(v), "Date")
              for v in EVENT_TYPES]
     return full_fold(parts, "Date")
@@ -267,6 +246,24 @@ def trip_mask_fill(spark, sf):
     return fill_ordered(t, ["pickup_datetime"], "event_id", directions=("backward", "forward"))
 
 
+_SPARSE_SQL = _MASK_FILL_SQL
+
+
+@query("fill_sparse_keys", "WITH " + _SPARSE_SQL + "\nSELECT event_id * 4194304 + 7 AS row_key, pickup_datetime FROM filled")
+def fill_sparse_keys(spark, sf):
+    """Keys 2^22 apart: every block holds one row, the carry works in levels."""
+    t = _t(spark, sf, "events").select((F.col("event_id") * F.lit(4194304) + 7).alias("row_key"), F.col("ts").alias("pickup_datetime"))
+    return fill_ordered(mask_outside(t, "pickup_datetime", TRIP_START, TRIP_END), ["pickup_datetime"], "row_key")
+
+
+@query("fill_file_order", "WITH " + _MASK_FILL_SQL + "\nSELECT * FROM filled")
+def fill_file_order(spark, sf):
+    """The order is that of the file (the driver's file is in event order)."""
+    raw = with_file_order_key(spark.read.parquet(f"{sf}/events.parquet"), "row_id")
+    t = mask_outside(raw.select("row_id", "event_id", F.col("ts").alias("pickup_datetime")), "pickup_datetime", TRIP_START, TRIP_END)
+    return fill_ordered(t, ["pickup_datetime"], "row_id").drop("row_id")
+
+
 @query("trip_dedup", "WITH " + TRIPS_SQL + """
 SELECT DISTINCT "Date", "Time", passenger_count, trip_distance, total_amount, tip_amount FROM silver""")
 def trip_dedup(spark, sf):
@@ -298,8 +295,7 @@ def zone_membership(spark, sf):
              .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
              .select("l_orderkey", "l_linenumber", "pu", "do_"))
     zones = region_zones(spark, sf)
-    # nation -> region has one row per nation: a fixed-size dimension, safe to broadcast.
-    return assign_zones(trips, zones, ["pu", "do_"], out="borough", broadcast_lookup=True, drop_endpoints=True)
+    return assign_zones(trips, zones, ["pu", "do_"], out="borough", drop_endpoints=True)
 
 
 def region_zones(spark, sf):
@@ -336,7 +332,7 @@ def reading_coerce(spark, sf):
 
 
 @query("reading_daily", "WITH " + READINGS_SQL + f"""
-SELECT borough, date, {xround('pm_2_5_value', 'count(pm_2_5_value)', 1, True)} AS avg_value_pm2_5, max(pm_2_5_value) AS peak_value_pm2_5
+SELECT borough, date, {xmean('pm_2_5_value', 1, True)} AS avg_value_pm2_5, max(pm_2_5_value) AS peak_value_pm2_5
 FROM readings GROUP BY ALL""")
 def reading_daily(spark, sf):
     r = S.readings_from_events(_t(spark, sf, "events"))
@@ -355,14 +351,14 @@ def reading_peak_rows(spark, sf):
                      peak_value="peak_value_pm2_5")
 
 
-def _dense_sql(series: str) -> str:
+def _dense_sql(series: str, start=AIR_START, end=AIR_END) -> str:
     return "WITH " + READINGS_SQL + f""",
-stats AS (SELECT {series}, date, {xround('pm_2_5_value', 'count(pm_2_5_value)', 1, True)} AS a, max(pm_2_5_value) AS p FROM readings
-          WHERE date BETWEEN {d(AIR_START)} AND {d(AIR_END)} GROUP BY ALL),
+stats AS (SELECT {series}, date, {xmean('pm_2_5_value', 1, True)} AS a, max(pm_2_5_value) AS p FROM readings
+          WHERE date BETWEEN {d(start)} AND {d(end)} GROUP BY ALL),
 peak AS (SELECT r.{series}, r.date, min(r.time) AS h FROM readings r JOIN stats s
          ON r.{series} = s.{series} AND r.date = s.date AND r.pm_2_5_value = s.p GROUP BY ALL),
 grid AS (SELECT k.{series}, CAST(g.day AS DATE) AS date FROM (SELECT DISTINCT {series} FROM readings) k,
-         generate_series(TIMESTAMP '{AIR_START} 00:00:00', TIMESTAMP '{AIR_END} 00:00:00', INTERVAL 1 DAY) g(day)),
+         generate_series(TIMESTAMP '{start} 00:00:00', TIMESTAMP '{end} 00:00:00', INTERVAL 1 DAY) g(day)),
 j AS (SELECT g.{series}, g.date, s.a, s.p, pk.h FROM grid g LEFT JOIN stats s USING ({series}, date)
       LEFT JOIN peak pk USING ({series}, date)),
 f AS (SELECT {series}, date,
@@ -381,9 +377,23 @@ def _dense_select(series: str) -> str:
 
 @query("reading_dense", _dense_sql("sensor_id") + _dense_select("sensor_id"))
 def reading_dense(spark, sf):
+    return air_daily(S.readings_from_events(_t(spark, sf, "events")), AIR_START, AIR_END, series="sensor_id")
+
+
+@query("reading_union", _dense_sql("borough") + _dense_select("borough"))
+def reading_union(spark, sf):
+    """Two sensor tables pooled as rows."""
     r = S.readings_from_events(_t(spark, sf, "events"))
-    r = keep_dates(r, "date", AIR_START, AIR_END)
-    return air_daily(r, AIR_START, AIR_END, series="sensor_id")
+    return air_daily([r.where("sensor_id % 2 = 0"), r.where("sensor_id % 2 <> 0")], AIR_START, AIR_END, series="borough")
+
+
+LATE_START, LATE_END = dt.date(2024, 1, 28), dt.date(2024, 2, 20)
+
+
+@query("reading_dense_late", _dense_sql("sensor_id", LATE_START, LATE_END) + _dense_select("sensor_id"))
+def reading_dense_late(spark, sf):
+    """A window that many sensors have no reading in: they get the calendar with null values."""
+    return air_daily(S.readings_from_events(_t(spark, sf, "events")), LATE_START, LATE_END, series="sensor_id")
 
 
 def _dense_keyed_sql() -> str:
@@ -417,7 +427,7 @@ def _air_combine_sql() -> str:
 
 @query("air_combine", _air_combine_sql())
 def air_combine(spark, sf):
-    r = keep_dates(S.readings_from_events(_t(spark, sf, "events")), "date", AIR_START, AIR_END)
+    r = S.readings_from_events(_t(spark, sf, "events"))
     return air_fact(air_daily(r, AIR_START, AIR_END, series="borough"), "borough", values=EVENT_TYPES)
 
 
@@ -448,6 +458,15 @@ def fx_midpoint(spark, sf):
     return fx_daily(bronze, AIR_START, AIR_END)
 
 
+@query("fx_empty_window", """
+SELECT CAST(g.day AS DATE) AS "Date", CAST(NULL AS DOUBLE) AS Exchange_Rate
+FROM generate_series(TIMESTAMP '2031-01-01 00:00:00', TIMESTAMP '2031-03-31 00:00:00', INTERVAL 1 DAY) g(day)
+WHERE NOT EXISTS (SELECT 1 FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2031-01-01' AND DATE '2031-03-31')""")
+def fx_empty_window(spark, sf):
+    e = _t(spark, sf, "events").select(F.col("ts").alias("Date"), F.col("value").alias("High"), F.col("value").alias("Low"))
+    return fx_daily(e, dt.date(2031, 1, 1), dt.date(2031, 3, 31))
+
+
 _QUOTES_SQL = """quotes AS (
   SELECT CAST(ts AS DATE) AS "Date",
          CASE event_type WHEN 'view' THEN 'Vol_VIX' WHEN 'purchase' THEN 'SPY' WHEN 'click' THEN 'XLI'
@@ -476,18 +495,17 @@ SELECT "Date", max(CASE WHEN ticker = 'Vol_VIX' THEN c END) AS vol_vix,
   max(CASE WHEN ticker = 'XLI' THEN change END) AS xli_daily_change
 FROM ch GROUP BY 1""")
 def market(spark, sf):
-    return market_daily(S.quotes_from_events(_t(spark, sf, "events")), MARKET_START, MARKET_END,
-                        values=TICKER_NAMES)
+    return market_daily(S.quotes_from_events(_t(spark, sf, "events")), MARKET_START, MARKET_END)
 
 
 @query("daily_change", f"""
-WITH daily AS (SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS "Date", {r_up('sum(o_totalprice)', 2)} AS close
+WITH daily AS (SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS "Date", {xround('o_totalprice', 2)} AS close
                FROM orders GROUP BY ALL)
 SELECT *, coalesce(close - lag(close) OVER (PARTITION BY o_orderstatus ORDER BY "Date"), 0.0) AS change FROM daily""")
 def daily_change_q(spark, sf):
     o = _t(spark, sf, "orders")
     daily = o.groupBy("o_orderstatus", F.to_date("o_orderdate").alias("Date")) \
-        .agg(F.round(F.sum("o_totalprice"), 2).alias("close"))
+        .agg(exact_round_sum("o_totalprice", 2).alias("close"))
     return daily_change(daily, "close", "Date", by=["o_orderstatus"], out="change")
 
 
@@ -555,14 +573,14 @@ def dq_summary(spark, sf):
 
 @query("alert_latest", f"""
 WITH daily AS (SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS time, max(value) AS temperature_2m_max,
-  min(value) AS temperature_2m_min, {r_up('sum(value)', 2)} AS precipitation_sum FROM events GROUP BY 1)
+  min(value) AS temperature_2m_min, {xround('value', 2)} AS precipitation_sum FROM events GROUP BY 1)
 SELECT time, {fixed2('temperature_2m_max')} AS temperature_2m_max, {fixed2('temperature_2m_min')} AS temperature_2m_min,
   {fixed2('precipitation_sum')} AS precipitation_sum FROM daily ORDER BY time DESC LIMIT 2""")
 def alert_latest(spark, sf):
     e = _t(spark, sf, "events")
     daily = e.groupBy(F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("time")).agg(
         F.max("value").alias("temperature_2m_max"), F.min("value").alias("temperature_2m_min"),
-        F.round(F.sum("value"), 2).alias("precipitation_sum"))
+        exact_round_sum("value", 2).alias("precipitation_sum"))
     return alert_rows(daily, "time", ["temperature_2m_max", "temperature_2m_min", "precipitation_sum"], k=2)
 
 
@@ -615,13 +633,13 @@ def fact_with_key(spark, sf):
 
 @query("star_join", "WITH " + _DIM_SQL + f""",
 fact AS (SELECT CAST(o_orderdate AS DATE) AS DateKey, count(*) AS order_count,
-  {r_up('sum(o_totalprice)', 2)} AS total_price FROM orders GROUP BY 1)
+  {xround('o_totalprice', 2)} AS total_price FROM orders GROUP BY 1)
 SELECT f.DateKey, f.order_count, f.total_price, dim."Year", dim."Month", dim.MonthName, dim.DayOfWeek
 FROM fact f LEFT JOIN dim ON f.DateKey = dim.DateKey""")
 def star_join(spark, sf):
     o = _t(spark, sf, "orders")
     fact = o.groupBy(F.to_date("o_orderdate").alias("DateKey")).agg(
-        F.count(F.lit(1)).alias("order_count"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
+        F.count(F.lit(1)).alias("order_count"), exact_round_sum("o_totalprice", 2).alias("total_price"))
     return with_dim(fact, dim_for_span(o, "o_orderdate"), on="DateKey", how="left")
 
 
@@ -664,7 +682,7 @@ def customer_zones(spark, sf):
         .select(F.col("c_custkey").cast("int").alias("zone_id"), "borough")
 
 
-# The region names of the driver's region table (oracle side only).
+# The region names of the driver's region table, the series of the report.
 REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
@@ -673,7 +691,7 @@ def _sanitized_sql() -> str:
                      for r in REGION_NAMES)
     total = " + ".join(f"coalesce(acctbal_{normalise_name(r)}, 0)" for r in REGION_NAMES)
     return "WITH " + _ZONES_SQL + f""",
-per AS (SELECT c_mktsegment, z.borough, {r_up('sum(c_acctbal)', 2)} AS acctbal
+per AS (SELECT c_mktsegment, z.borough, {xround('c_acctbal', 2)} AS acctbal
         FROM customer c JOIN zones z ON c.c_nationkey = z.zone_id GROUP BY ALL),
 wide AS (SELECT c_mktsegment, {cols} FROM per GROUP BY 1)
 SELECT *, {r_up(total, 2)} AS acctbal_total FROM wide"""
@@ -684,6 +702,6 @@ def sanitized_names(spark, sf):
     c = _t(spark, sf, "customer")
     z = region_zones(spark, sf)
     per = (c.join(z, c.c_nationkey == z.zone_id)
-           .groupBy("c_mktsegment", "borough").agg(F.round(F.sum("c_acctbal"), 2).alias("acctbal")))
-    wide = widen(per, "c_mktsegment", "borough", ["acctbal"])
+           .groupBy("c_mktsegment", "borough").agg(exact_round_sum("c_acctbal", 2).alias("acctbal")))
+    wide = widen(per, "c_mktsegment", "borough", ["acctbal"], REGION_NAMES)
     return row_total(wide, [x for x in wide.columns if x.startswith("acctbal_")], "acctbal_total", 2)

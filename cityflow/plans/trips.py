@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import hour_label, hour_text
+from ..functions.scalar import exact_round_sum, hour_label, hour_text
 from ..operators.aggregate import daily_fact
 from ..operators.clean import keep_dates, keep_range, mask_outside, require
 from ..operators.clean import union_conformed
-from ..operators.fill import fill_ordered, with_file_order_key
+from ..operators.fill import fill_ordered, tag_file_order, with_file_order_key
 from ..sources.readers import scan_merged
-from ..functions.scalar import matching
-from ..operators.widen import ratio, row_total, widen
+from ..operators.widen import ratio, widen
 from ..operators.zones import assign_zones
 
+# The silver contract and the pickup columns of the two fleets.
 SILVER_COLS = ["Date", "Time", "passenger_count", "trip_distance", "DOLocationID", "PULocationID",
                "total_amount", "tip_amount"]
 
@@ -37,17 +37,19 @@ TRIP_METRICS = ["total_trips"] + [m[0] for m in TRIP_MEASURES] + ["peak_trip_hou
 PICKUP_SOURCES = ["tpep_pickup_datetime", "lpep_pickup_datetime"]
 
 
-def raw_trips(spark, paths, fmt: str = "parquet", order: str = "row_id") -> DataFrame:
+def raw_trips(spark, paths, fmt: str = "parquet", order: str = "row_id", schema_map: dict | None = None) -> DataFrame:
     """Bronze trips of both fleets: one merged scan (missing columns null),
-    a file-order key for the fill, and ``pickup_datetime`` unified."""
-    df = with_file_order_key(scan_merged(spark, paths, fmt=fmt), order)
+    a file-order key for the fill, and ``pickup_datetime`` unified. Families
+    whose columns differ in type are cast by ``schema_map`` (see
+    ``scan_merged``) before they are united."""
+    df = with_file_order_key(scan_merged(spark, paths, schema_map, fmt=fmt, tag=tag_file_order), order)
     present = [c for c in PICKUP_SOURCES if c in df.columns]
     return union_conformed([df], {"pickup_datetime": present})
 
 
 def clean_trips(raw: DataFrame, start, end, order: str, zones: DataFrame | None = None,
                 ts: str = "pickup_datetime", directions=("backward", "forward"), series: str = "borough",
-                broadcast_zones: bool | None = None) -> DataFrame:
+                ) -> DataFrame:
     """Silver trips.
 
     Pickup times outside [start, end] are masked and re-filled from the
@@ -67,28 +69,24 @@ def clean_trips(raw: DataFrame, start, end, order: str, zones: DataFrame | None
     silver = df.select(*SILVER_COLS).dropDuplicates()
     if zones is None:
         return silver
-    return assign_zones(silver, zones, ["PULocationID", "DOLocationID"], out=series,
-                        broadcast_lookup=broadcast_zones, drop_endpoints=True)
+    return assign_zones(silver, zones, ["PULocationID", "DOLocationID"], out=series, drop_endpoints=True)
 
 
 def daily_trip_stats(silver: DataFrame, series: str = "borough") -> DataFrame:
     """Long daily fact: one row per (series, Date) with all trip metrics (C6 core)."""
     cleaned = keep_range(silver, "total_amount", *GOLD_AMOUNT_CUT)
-    # Group on the two-character hour and format the label once per day:
-    # "HH" -> "HH:00:00" is one-to-one and keeps the order, so the earliest
-    # busiest hour is the same.
-    long = daily_fact(cleaned, [series], "Date", "Time", TRIP_MEASURES,
+    # Labels first: of "9" and "10" the padded "09:00:00" is the earlier hour.
+    return daily_fact(cleaned.withColumn("Time", hour_label("Time")), [series], "Date", "Time", TRIP_MEASURES,
                       count_name="total_trips", peak_name="peak_trip_hour")
-    return long.withColumn("peak_trip_hour", hour_label("peak_trip_hour"))
 
 
 def wide_trip_fact(long: DataFrame, series: str = "borough", values=None, city: str = "New_York") -> DataFrame:
-    """Daily wide fact with per-series columns and city totals, ordered by Date."""
-    wide = widen(long, "Date", series, TRIP_METRICS, values=values)
-    cols = wide.columns
-    wide = row_total(wide, matching(cols, "total_trips_"), f"total_trips_{city}")
-    wide = row_total(wide, matching(cols, "total_amount_earned_"), f"total_amount_earned_{city}", 2)
-    wide = row_total(wide, matching(cols, "total_tips_earned_"), f"total_tips_earned_{city}", 2)
+    """Daily wide fact with columns of the listed series and city totals over all series, ordered by Date."""
+    zero = F.lit(0.0)
+    wide = widen(long, "Date", series, TRIP_METRICS, values, totals={
+        f"total_trips_{city}": F.sum("total_trips"),
+        f"total_amount_earned_{city}": F.coalesce(exact_round_sum("total_amount_earned", 2), zero),
+        f"total_tips_earned_{city}": F.coalesce(exact_round_sum("total_tips_earned", 2), zero)})
     wide = ratio(wide, f"total_amount_earned_{city}", f"total_trips_{city}", f"average_trip_cost_{city}", 2)
     return wide.orderBy("Date")
 

@@ -6,6 +6,7 @@ Readers are lazy: filters and column selections applied later reach the scan
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,20 +20,22 @@ def scan_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet") ->
     return spark.read.format(fmt).load(path_or_name)
 
 
-def scan_merged(spark: SparkSession, paths, schema_map: dict | None = None, fmt: str = "parquet") -> DataFrame:
+def scan_merged(spark: SparkSession, paths, schema_map: dict | None = None, fmt: str = "parquet", tag=None) -> DataFrame:
     """All files under ``paths`` with the union of their columns.
 
     Without ``schema_map`` the files are read with schema merging (missing
     columns -> null). Where families disagree on a type, pass
     ``schema_map={path: {col: type}}``: each family is read and cast on its
-    own, then unioned by name.
+    own, then unioned by name. ``tag`` is applied to every scan before the
+    union (e.g. to keep scan metadata).
     """
+    tag = tag or (lambda df: df)
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not schema_map:
-        return spark.read.option("mergeSchema", "true").format(fmt).load(paths)
+        return tag(spark.read.option("mergeSchema", "true").format(fmt).load(paths))
     parts = []
     for p in paths:
-        df = spark.read.format(fmt).load(p)
+        df = tag(spark.read.format(fmt).load(p))
         casts = schema_map.get(p, {})
         if casts:
             df = df.withColumns({c: F.col(c).cast(t) for c, t in casts.items() if c in df.columns})
@@ -41,15 +44,19 @@ def scan_merged(spark: SparkSession, paths, schema_map: dict | None = None, fmt:
 
 
 def scan_many(spark: SparkSession, root: str, fmt: str = "parquet", origin_col: str = "origin",
-              schema=None) -> DataFrame:
-    """Every sub-folder of ``root`` in one scan; ``origin_col`` is the folder
-    name each row came from (no per-folder loop, one job for all)."""
+              schema=None, partitions=()) -> DataFrame:
+    """Every sub-folder of ``root`` in one scan; ``origin_col`` is the name of
+    the folder right below ``root`` (no per-folder loop, one job for all).
+    ``partitions`` names ``key=value`` folders further down whose values
+    become text columns."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.option("recursiveFileLookup", "true").load(root)
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return df.withColumn(origin_col, folder)
+    path, name = F.col("_metadata.file_path"), root.rstrip("/").rsplit("/", 1)[-1]
+    below = F.element_at(F.split(path, "/" + re.escape(name) + "/"), -1)
+    values = {p: F.url_decode(F.regexp_extract(path, f"/{re.escape(p)}=([^/]*)/", 1)) for p in partitions}
+    return df.withColumns({origin_col: F.url_decode(F.substring_index(below, "/", 1)), **values})
 
 
 def scan_documents(spark: SparkSession, path: str, schema, multiline: bool = True) -> DataFrame:

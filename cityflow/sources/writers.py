@@ -5,6 +5,7 @@ fan-out, JSON export.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def overwrite(df: DataFrame, target: str, fmt: str = "parquet", skip_if_empty: bool = False,
@@ -41,11 +42,21 @@ def fan_out(df: DataFrame, by: str, path: str, fmt: str = "parquet") -> None:
     """One write, one folder per value of ``by`` (``by=value`` sub-folders).
 
     Replaces one filtered write per value: the input is computed once, and
-    readers of one value get partition pruning.
+    readers of one value get partition pruning. Rows are gathered by value
+    first, so the number of files follows the data and not tasks x values;
+    AQE splits a value that is too large for one file.
     """
-    df.write.mode("overwrite").partitionBy(by).format(fmt).save(path)
+    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).format(fmt).save(path)
 
 
-def export_json(df: DataFrame, path: str) -> None:
-    """Rows as JSON lines in a folder (null fields omitted)."""
-    df.write.mode("overwrite").json(path)
+def export_json(df: DataFrame, path: str, as_array: bool = False) -> None:
+    """Rows as JSON lines in a folder (null fields omitted).
+
+    ``as_array`` writes one JSON array instead; meant for reports of a few
+    rows (such as ``alert_rows``), which become one value.
+    """
+    if as_array:
+        rows = df.agg(F.collect_list(F.struct("*")).alias("rows"))
+        rows.select(F.to_json("rows").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    else:
+        df.write.mode("overwrite").json(path)

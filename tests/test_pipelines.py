@@ -30,8 +30,7 @@ def test_taxi_files_to_wide_fact(spark, scratch):
         .write.parquet(os.path.join(scratch, "raw", "green"))
     raw = raw_trips(spark, [os.path.join(scratch, "raw", "yellow"), os.path.join(scratch, "raw", "green")])
     zones = zone_table(spark, {"Bronx": [1], "Queens": [2]})
-    silver = clean_trips(raw, dt.date(2024, 2, 1), dt.date(2024, 5, 31), order="row_id", zones=zones,
-                         broadcast_zones=True)
+    silver = clean_trips(raw, dt.date(2024, 2, 1), dt.date(2024, 5, 31), order="row_id", zones=zones)
     per = {(r.borough, str(r.Date)) : r["count"] for r in silver.groupBy("borough", "Date").count().collect()}
     assert per == {("Bronx", "2024-02-03"): 2, ("Queens", "2024-02-03"): 2, ("Queens", "2024-02-04"): 1}
     fact = trip_fact(silver, values=["Bronx", "Queens"]).collect()

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cityflow.operators.fill import fill_ordered, fill_ordered_global
+from cityflow.operators.fill import fill_ordered
 from cityflow.operators.series import densify
 from cityflow.operators.widen import full_fold, suffix_columns, widen
 from cityflow.plans import catalog as C
@@ -14,6 +14,22 @@ from cityflow.plans.trips import TRIP_METRICS, daily_trip_stats
 
 from .conftest import SF001
 
+
+
+def fill_rows(rows, directions=("backward", "forward")):
+    """{(key, filled value)} of (key, value) rows, by walking them in plain Python."""
+    rows = sorted(rows)
+
+    def walk(order):
+        seen, last = {}, None
+        for k, v in order:
+            last = v if v is not None else last
+            seen[k] = last
+        return seen
+    found = [walk(rows if d == "forward" else rows[::-1]) for d in directions]
+    return {(k, next((f[k] for f in found if f[k] is not None), None)) for k, _ in rows}
+
+
 SLOW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -21,12 +37,11 @@ SLOW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthChe
 @given(vals=st.lists(st.one_of(st.none(), st.integers(0, 50)), min_size=1, max_size=40),
        block=st.integers(1, 9), gaps=st.integers(1, 5),
        directions=st.sampled_from([("backward", "forward"), ("forward", "backward"), ("backward",), ("forward",)]))
-def test_distributed_fill_equals_global_window(spark, vals, block, gaps, directions):
+def test_distributed_fill_equals_plain_fill(spark, vals, block, gaps, directions):
     # Sparse keys (gaps) and tiny blocks exercise the carry across many blocks.
     df = spark.createDataFrame([(i * gaps, v) for i, v in enumerate(vals)], "id long, v int").repartition(3)
-    got = sorted(tuple(r) for r in fill_ordered(df, ["v"], "id", directions=directions, block=block).collect())
-    want = sorted(tuple(r) for r in fill_ordered_global(df, ["v"], "id", directions=directions).collect())
-    assert got == want
+    got = {tuple(r) for r in fill_ordered(df, ["v"], "id", directions=directions, block=block).collect()}
+    assert got == fill_rows([(i * gaps, v) for i, v in enumerate(vals)], directions)
 
 
 @SLOW
@@ -37,8 +52,7 @@ def test_fill_by_series_stays_in_series(spark, vals, block):
     got = {(r.id, r.v) for r in fill_ordered(df, ["v"], "id", by=["s"], block=block).collect()}
     want = set()
     for s in "ab":
-        part = df.filter(F.col("s") == s)
-        want |= {(r.id, r.v) for r in fill_ordered_global(part, ["v"], "id").collect()}
+        want |= fill_rows([(i, v) for i, t, v in rows if t == s])
     assert got == want
 
 
@@ -46,8 +60,7 @@ def test_fill_on_events_matches_global(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     masked = ev.select("event_id", F.when(F.col("user_id") % 3 == 0, F.col("value")).alias("v"))
     a = {tuple(r) for r in fill_ordered(masked, ["v"], "event_id", block=97).collect()}
-    b = {tuple(r) for r in fill_ordered_global(masked, ["v"], "event_id").collect()}
-    assert a == b
+    assert a == fill_rows([tuple(r) for r in masked.collect()])
 
 
 @SLOW
@@ -60,8 +73,8 @@ def test_densify_row_count(spark, days, keys, span):
     end = start + dt.timedelta(days=span - 1)
     with_data = len({k for k, d, _ in rows if d <= end})
     out = densify(df, "day", ["k"], start, end)
-    assert out.count() == with_data * span
-    assert out.filter(F.col("v").isNull()).count() == 0 if with_data else True
+    assert out.count() == keys * span
+    assert out.filter(F.col("v").isNull()).count() == (0 if with_data else keys * span)
     keyed = densify(df, "day", ["k"], start, end, keys=df.select("k").distinct())
     assert keyed.count() == keys * span
 
@@ -105,6 +118,101 @@ def test_fill_by_file_order_equals_fill_by_event_id(spark):
     keyed = with_file_order_key(ev, "k").select("k", "event_id",
                                                 F.when(F.col("user_id") % 3 == 0, F.col("value")).alias("v"))
     by_file = {(r.event_id, r.v) for r in fill_ordered(keyed, ["v"], "k", block=64).collect()}
-    by_id = {(r.event_id, r.v) for r in fill_ordered_global(keyed.drop("k"), ["v"], "event_id").collect()}
+    by_id = fill_rows([(r.event_id, r.v) for r in keyed.collect()])
     # the driver's events file is stored in event_id order
     assert by_file == by_id
+
+
+def test_fill_with_very_sparse_keys_and_null_series(spark):
+    rows = [(-(1 << 62) + i * (1 << 40), "a" if i % 2 else None, i if i % 5 == 0 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, s string, v int")
+    got = {(r.id, r.v) for r in fill_ordered(df, ["v"], "id", by=["s"]).collect()}
+    assert got == fill_rows([(k, v) for k, s, v in rows if s]) | fill_rows([(k, v) for k, s, v in rows if not s])
+
+
+def test_densify_keeps_repeated_days_and_empty_windows(spark):
+    day = dt.date(2024, 1, 2)
+    df = spark.createDataFrame([(day, 1.0), (day, 3.0)], "day date, v double")
+    two = sorted((r.day.day, r.v) for r in densify(df, "day", [], dt.date(2024, 1, 1), dt.date(2024, 1, 2)).collect())
+    assert [d for d, _ in two] == [1, 2, 2] and two[1:] == [(2, 1.0), (2, 3.0)]
+    late = densify(df, "day", [], dt.date(2025, 1, 1), dt.date(2025, 1, 3)).collect()
+    assert len(late) == 3 and all(r.v is None for r in late)
+    keyed = densify(df.withColumn("k", F.lit("x")), "day", ["k"], dt.date(2025, 1, 1), dt.date(2025, 1, 3), defaults={"v": 0.5}).collect()
+    assert [r.v for r in keyed] == [0.5] * 3
+
+
+def test_sums_keep_small_values_and_survive_nan(spark):
+    from cityflow.operators.aggregate import daily_fact
+    day = dt.date(2024, 1, 1)
+    rows = [("a", day, "01", 1e-7), ("a", day, "02", 5e-7), ("b", day, "01", float("nan")), ("c", day, "01", 1e300), ("d", day, "01", None)]
+    df = spark.createDataFrame(rows, "s string, day date, h string, x double")
+    for peak in ("peak", None):
+        out = {r.s: r for r in daily_fact(df, ["s"], "day", "h", [("total", "sum", "x", None), ("cents", "sum", "x", 2), ("mean", "avg", "x", 7)],
+                                          count_name="n", peak_name=peak).collect()}
+        assert abs(out["a"].total - 6e-7) < 1e-15 and out["a"].cents == 0.0 and out["a"].mean == 3e-7
+        assert out["b"].cents != out["b"].cents and out["c"].total == 1e300 and out["d"].cents is None
+
+
+def test_unlisted_series_stay_in_city_totals(spark):
+    from cityflow.plans.trips import trip_fact
+    import pytest
+    row = (dt.date(2024, 1, 1), "09", 1.0, 2.0, 1, 1, 10.0, 1.0)
+    cols = "Date date, Time string, passenger_count double, trip_distance double, DOLocationID int, PULocationID int, total_amount double, tip_amount double, borough string"
+    silver = spark.createDataFrame([(*row, "St. George"), (*row, "Newark"), (*row[:1], "9", *row[2:], "St. George"), (*row[:1], "10", *row[2:], "St. George"),
+                                    (*row[:1], "10", *row[2:], "St. George")], cols)
+    got = trip_fact(silver, values=["St. George"]).first().asDict()
+    assert got["total_trips_New_York"] == 5 and got["total_amount_earned_New_York"] == 50.0 and got["total_trips_St.George"] == 4
+    assert got["peak_trip_hour_St.George"] == "09:00:00"
+    with pytest.raises(ValueError):
+        widen(silver, "Date", "borough", ["tip_amount"], ["Staten Island", "Staten_Island"])
+    with pytest.raises(ValueError):
+        trip_fact(silver)
+
+
+def test_readings_do_not_depend_on_the_session_zone(spark):
+    from cityflow.plans.air import clean_readings
+    raw = spark.createDataFrame([("2024-02-01T03:00:00Z",), ("2024-02-01 03:00:00",), ("2024-01-31T22:00:00-05:00",)], "t string").select(
+        F.struct(F.lit("pm25").alias("name"), F.lit("u").alias("units")).alias("parameter"), F.lit("1.0").alias("value"),
+        F.struct(F.struct(F.col("t").alias("utc")).alias("datetimeFrom")).alias("period"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert {(str(r.date), r.time) for r in clean_readings(raw).collect()} == {("2024-02-01", "03:00:00")}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_zones_with_two_labels_and_absent_ticker(spark):
+    from cityflow.operators.zones import assign_zones
+    from cityflow.plans.finance import market_daily
+    zones = spark.createDataFrame([(1, "A"), (1, "B"), (2, "B")], "zone_id int, borough string")
+    trips = spark.createDataFrame([(7, 1, 2), (8, 3, None)], "id int, pu int, do_ int")
+    assert sorted((r.id, r.borough) for r in assign_zones(trips, zones, ["pu", "do_"]).collect()) == [(7, "A"), (7, "B")]
+    quotes = spark.createDataFrame([(dt.date(2024, 1, 1), "SPY", 5.0)], "Date date, ticker string, Close double")
+    rows = market_daily(quotes, dt.date(2024, 1, 1), dt.date(2024, 1, 2)).collect()
+    assert len(rows) == 2 and rows[0].vol_vix is None and rows[1].spy_daily_change == 0.0
+
+
+def test_mixed_type_families_fan_out_and_reports(spark, scratch):
+    import glob
+    import json
+    import pytest
+    from cityflow.operators.quality import between, fail_on, run_suite
+    from cityflow.plans.trips import raw_trips
+    from cityflow.sources.readers import scan_many
+    from cityflow.sources.writers import export_json, fan_out
+    spark.sql("select timestamp'2024-01-01 01:00:00' tpep_pickup_datetime, 2L passenger_count").write.parquet(f"{scratch}/a")
+    spark.sql("select timestamp'2024-01-01 02:00:00' lpep_pickup_datetime, 1.5D passenger_count").write.parquet(f"{scratch}/b")
+    raw = raw_trips(spark, [f"{scratch}/a", f"{scratch}/b"], schema_map={f"{scratch}/a": {"passenger_count": "double"}})
+    rows = raw.orderBy("row_id").collect()
+    assert [r.passenger_count for r in rows] == [2.0, 1.5] and all(r.pickup_datetime for r in rows)
+    df = spark.range(400, numPartitions=8).select("id", (F.col("id") % 5).cast("string").alias("borough"))
+    fan_out(df, "borough", f"{scratch}/root/trips")
+    assert len(glob.glob(f"{scratch}/root/trips/*/*.parquet")) <= 10
+    back = scan_many(spark, f"{scratch}/root", partitions=["borough"])
+    assert {(r.origin, r.borough) for r in back.collect()} == {("trips", str(i)) for i in range(5)} and back.count() == 400
+    export_json(df.limit(2), f"{scratch}/alerts", as_array=True)
+    assert len(json.loads(open(glob.glob(f"{scratch}/alerts/part*")[0]).read())) == 2
+    with pytest.raises(ValueError):
+        fail_on(run_suite(df, [between("id", 0, 5)]))
