@@ -170,7 +170,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 25, bat
 
 
 SAMPLE = T.StructType([T.StructField("lang", T.StringType()), T.StructField("u", T.LongType()),
-                       T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.FloatType()))])
+                       T.StructField("buckets", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
 
 def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -197,11 +197,13 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             found = [subword_counts(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array([b for b, _ in found], pa.list_(pa.int32())),
-                 pa.array([c for _, c in found], pa.list_(pa.float32()))], names=SAMPLE.names)
-    got = picked.select("text", "lang", "u").mapInArrow(count, SAMPLE).collect()
-    got.sort(key=lambda r: (r["u"], r["lang"], r["buckets"]))
-    return fit([(np.array(r["buckets"], np.int32), np.array(r["counts"], np.float32), r["lang"]) for r in got])
+                [batch.column(1), batch.column(2), pa.array([b.astype("<u2").tobytes() for b, _ in found], pa.binary()),
+                 pa.array([c.astype("<f4").tobytes() for _, c in found], pa.binary())], names=SAMPLE.names)
+    # Packed numbers: a few kB a row in the driver.
+    got = [(r["u"], r["lang"], bytes(r["buckets"]), bytes(r["counts"]))
+           for r in picked.select("text", "lang", "u").mapInArrow(count, SAMPLE).collect()]
+    got.sort()
+    return fit([(np.frombuffer(b, "<u2"), np.frombuffer(c, "<f4"), lang) for _, lang, b, c in got])
 
 
 def identify(documents: DataFrame, model: LangModel, text_col: str = "text") -> DataFrame:
