@@ -15,7 +15,7 @@ def zip_to_rows(df: DataFrame, struct_col: str, fields, keep=()) -> DataFrame:
 
 
 def parse_json(df: DataFrame, col: str, schema, out: str | None = None) -> DataFrame:
-    """JSON text -> nested value with a declared schema (bad text -> null)."""
+    """JSON text -> nested value with a declared schema (bad text -> a struct of nulls)."""
     return df.withColumn(out or col, F.from_json(F.col(col), schema))
 
 

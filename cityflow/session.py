@@ -62,7 +62,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
