@@ -1,18 +1,18 @@
 """Ordered fill over a whole table without a global sort.
 
 A window ordered over the whole table runs in one task. Here the order key
-is cut into fixed-width blocks (``key div block``): because the key is a
-unique integer, a block never holds more than ``block`` rows, whatever the
-key distribution, so no block can become a hot partition.
+is cut into blocks: fixed-width ranges of an integer key, or of the row
+positions of a file. The key is unique, so a block never holds more than
+``block`` rows, whatever the key distribution, and no block can become a hot
+partition.
 
 1. per (series, block): nearest non-null in the first direction (one window
    partitioned by series and block, one sort);
 2. per (series, block): first and last non-null value (a hash aggregate with
    map-side combine; only one row per block and task is shuffled);
-3. carry across blocks: the block summaries are grouped into blocks of
-   2^20 block numbers and carried within these, the groups' summaries
-   likewise, until few numbers are left; so no window ever holds more than
-   2^20 rows of a series, however sparse the keys are;
+3. carry across blocks in levels: the block summaries are carried within
+   groups (2^20 block numbers; or a file, files of a like name, a folder),
+   the groups' summaries likewise one level up, until few are left;
 4. join the carry back on (series, block) — only the summary side moves —
    and coalesce.
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..session import pin
 
 DEFAULT_BLOCK = 1 << 20
+FILE_ORDER = "struct<folder:string,file:string,row:bigint>"
 
 
 def with_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
@@ -41,36 +42,30 @@ def with_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
     return pin(df.withColumn(name, F.monotonically_increasing_id()))
 
 
-FILE_ROW_BITS = 40  # rows per file below 2^40
-
-
 def tag_file_order(df: DataFrame) -> DataFrame:
     """File path and row position of a direct file scan as columns, which survive a union of scans."""
     return df.withColumns({"_order_file": F.col("_metadata.file_path"), "_order_row": F.col("_metadata.row_index")})
 
 
 def with_file_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Unique integer key in file order, recomputable without a checkpoint.
-
-    ``(file number << 40) + row index in file``, from the scan's hidden
-    ``_metadata`` columns; ``df`` must be a direct file scan or a union of
-    scans that went through :func:`tag_file_order`. Files are
-    numbered by path with a window over one row per file (bounded by the
-    file count, not the row count) joined back by path. A re-executed task
-    reads the same file and row positions, so the ids never change.
+    """Unique key in file order, recomputable without a checkpoint.
+
+    The key is ``struct(folder, file, row)``, ordered by folder, file name
+    and row position, from the scan's hidden ``_metadata`` columns; ``df``
+    must be a direct file scan or a union of scans that went through
+    :func:`tag_file_order`. Nothing is numbered, so there is no join and no
+    limit on files or rows. A re-executed task reads the same file and row
+    positions, so the keys never change.
     """
     path, row = "_order_file", "_order_row"
     tagged = df if path in df.columns else tag_file_order(df)
-    files = tagged.select(path).distinct()
-    numbered = files.withColumn("_order_fno", F.row_number().over(Window.orderBy(path)).cast("long") - 1)
-    keyed = tagged.join(numbered, on=path, how="inner")
-    key = F.shiftleft(F.col("_order_fno"), FILE_ROW_BITS) + F.col(row)
-    key = F.when(F.col("_order_fno") < (1 << (63 - FILE_ROW_BITS)), key).otherwise(
-        F.raise_error(F.lit("more files than the order key can number; merge files or raise the row limit")).cast("long"))
-    return keyed.withColumn(name, key).drop(path, row, "_order_fno")
+    file = F.substring_index(path, "/", -1)
+    folder = F.left(F.col(path), F.length(path) - F.length(file))
+    return tagged.withColumn(name, F.struct(folder.alias("folder"), file.alias("file"), F.col(row).alias("row"))).drop(path, row)
 
 
 CARRY_BITS = 20
+NAME_HEAD = 8  # leading characters of a file name that files of one group share
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -79,27 +74,25 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, same, "left").drop(*[f"_r_{c}" for c in on])
 
 
-def _carry(summary: DataFrame, cols, by, key: str, asc: bool, bits: int) -> DataFrame:
+def _carry(summary: DataFrame, cols, by, keys, asc: bool) -> DataFrame:
     """Per summary row: ``_c_`` the nearest value of the rows before it, ``_s_`` the series' edge value.
 
-    ``key`` has ``bits`` bits; as long as these are many, rows are carried
-    within groups of 2^CARRY_BITS keys and the groups one level up.
+    ``keys`` are nested, the widest first: rows are carried by the last key
+    within the groups of the others, and the groups one level up.
     """
     near, far = ("_l_", "_f_") if asc else ("_f_", "_l_")
+    *up, key = keys
     o = F.col(key).asc() if asc else F.col(key).desc()
-
-    def before(group):
-        return Window.partitionBy(*group).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
-    if bits <= CARRY_BITS:
+    group = [*by, *up]
+    before = Window.partitionBy(*group).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+    if not up:
         whole = Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return summary.select(*by, key, *[F.last(f"{near}{c}", ignorenulls=True).over(before(by)).alias(f"_c_{c}") for c in cols],
+        return summary.select(*by, key, *[F.last(f"{near}{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols],
                               *[F.first(f"{far}{c}", ignorenulls=True).over(whole).alias(f"_s_{c}") for c in cols])
-    up = f"{key}_up"
-    grouped = summary.withColumn(up, F.shiftright(key, CARRY_BITS))
-    local = grouped.select(*by, key, up, *[F.last(f"{near}{c}", ignorenulls=True).over(before([*by, up])).alias(f"_b_{c}") for c in cols])
-    above = _carry(_summary(grouped, cols, [*by, up], key, lambda c: (f"_f_{c}", f"_l_{c}")), cols, by, up, asc, bits - CARRY_BITS)
-    joined = _join_null_safe(local, above, [*by, up])
-    return joined.select(*by, key, *[F.coalesce(f"_b_{c}", f"_c_{c}").alias(f"_c_{c}") for c in cols], *[f"_s_{c}" for c in cols])
+    local = summary.select(*group, key, *[F.last(f"{near}{c}", ignorenulls=True).over(before).alias(f"_b_{c}") for c in cols])
+    above = _carry(_summary(summary, cols, group, key, lambda c: (f"_f_{c}", f"_l_{c}")), cols, by, up, asc)
+    joined = _join_null_safe(local, above, group)
+    return joined.select(*group, key, *[F.coalesce(f"_b_{c}", f"_c_{c}").alias(f"_c_{c}") for c in cols], *[f"_s_{c}" for c in cols])
 
 
 def _summary(df: DataFrame, cols, group, order: str, ends) -> DataFrame:
@@ -117,18 +110,33 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     """Fill nulls in ``cols`` from the next (``backward``) and/or previous
     (``forward``) non-null value in ``order``; the first direction wins.
 
-    ``order`` must be a unique integral key (use :func:`with_order_key`).
-    ``by`` restricts the fill to each series (a null key is a series).
-    ``block`` is rounded up to a power of two.
+    ``order`` must be a unique integral key (see :func:`with_order_key`) or
+    the key of :func:`with_file_order_key`. ``by`` restricts the fill to each
+    series (a null key is a series). ``block`` is rounded up to a power of two.
     """
     cols, by = list(cols), list(by)
     kind = dict(df.dtypes).get(order)
-    if kind not in ("tinyint", "smallint", "int", "bigint"):
-        raise TypeError(f"order key {order!r} must be a unique integer column (got {kind}); see with_order_key")
-    blk = "_fill_blk"
-    part = by + [blk]
+    blk, at = "_fill_blk", "_fill_at"
     bits = max(1, (int(block) - 1).bit_length())
-    tagged = df.withColumn(blk, F.shiftright(F.col(order).cast("long"), bits))
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        place = {at: F.col(order).cast("long")}
+        key = F.col(order)
+        ups, left = {}, 64 - bits
+        while left > CARRY_BITS:
+            ups = {f"{blk}_{len(ups) + 1}": F.shiftright(blk, CARRY_BITS * (len(ups) + 1))} | ups
+            left -= CARRY_BITS
+        keys = [*ups, blk]
+    elif kind == FILE_ORDER:
+        folder, file, head = "_fill_folder", "_fill_file", "_fill_head"
+        place = {folder: F.col(order)["folder"], file: F.col(order)["file"], at: F.col(order)["row"]}
+        key = F.struct(F.col(folder).alias("folder"), F.col(file).alias("file"), F.col(at).alias("row")).alias(order)
+        ups, keys = {head: F.left(F.col(file), F.lit(NAME_HEAD))}, [folder, head, file, blk]
+    else:
+        raise TypeError(f"order key {order!r} must be a unique integer column or a file-order key (got {kind}); see with_order_key")
+    part = by + [k for k in keys if k not in ups]
+    tagged = df.withColumns(place).withColumn(blk, F.shiftright(at, bits))
+    if kind == FILE_ORDER:
+        tagged = tagged.drop(order)  # the shuffle carries the path once
 
     # The first direction is a growing frame (unbounded preceding .. current
     # row) in its own order — evaluated incrementally; "next" is the same
@@ -137,14 +145,14 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     # second direction only fills the edge gap the first leaves, where it
     # equals the series' first / last non-null value: no second sort.
     asc = directions[0] == "forward"
-    o = F.col(order).asc() if asc else F.col(order).desc()
+    o = F.col(at).asc() if asc else F.col(at).desc()
     w_local = Window.partitionBy(*part).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.withColumns({f"_p_{c}": F.last(c, ignorenulls=True).over(w_local) for c in cols})
 
     # From the tagged input, not the window output: a partial hash aggregate
     # per map task instead of re-running the sorted block windows.
-    summary = _summary(tagged, cols, part, order, lambda c: (c, c))
-    carry = _carry(summary, cols, by, blk, asc, 64 - bits)
+    summary = _summary(tagged, cols, part, at, lambda c: (c, c))
+    carry = _carry(summary.withColumns(ups), cols, by, keys, asc).drop(*ups)
     joined = _join_null_safe(local, carry, part)
 
     def filled(c):
@@ -152,4 +160,4 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
         return F.coalesce(*parts)
 
     out = joined.withColumns({c: filled(c) for c in cols})
-    return out.select(*df.columns)
+    return out.select(*[key if c == order else c for c in df.columns])

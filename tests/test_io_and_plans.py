@@ -113,13 +113,13 @@ def test_air_plan_scans_once_and_hash_aggregates_rows(spark):
 
 def test_no_single_partition_exchange_over_rows(spark):
     """The only single-partition exchange allowed is the fill's carry step,
-    which reads one summary row per block of the order key."""
-    for name in ("trip_clean", "trip_mask_fill", "reading_dense", "zone_membership", "air_combine"):
+    which reads one summary row per block of the order key, or per folder."""
+    for name in ("trip_clean", "trip_mask_fill", "fill_file_order", "fill_sparse_keys", "reading_dense", "zone_membership", "air_combine"):
         lines = _plan(C.QUERIES[name](spark, SF001)).splitlines()
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
                 below = " ".join(lines[i + 1:i + 4])
-                assert "HashAggregate(keys=[_fill_blk" in below, (name, line)
+                assert "HashAggregate(keys=[_fill_blk_2" in below or "SortAggregate(key=[_fill_folder" in below, (name, line)
 
 
 def test_zone_lookup_is_broadcast(spark):

@@ -123,6 +123,30 @@ def test_fill_by_file_order_equals_fill_by_event_id(spark):
     assert by_file == by_id
 
 
+def test_fill_by_file_order_carries_across_files_heads_and_folders(spark, scratch):
+    """Files without a valid value between others, several blocks a file, several name heads and folders, per series."""
+    from cityflow.operators.fill import tag_file_order, with_file_order_key
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    rows, paths = [], []
+    for folder in ("a", "b-x", "b"):  # in text order with the closing slash
+        os.makedirs(f"{scratch}/{folder}")
+        for file in ("part-00000", "part-00001", "part-10000"):
+            path = f"{scratch}/{folder}/{file}.parquet"
+            first = len(rows)
+            rows += [(i, "s" if i % 3 else None, i if i % 17 == 0 and file != "part-00001" and folder != "b-x" else None)
+                     for i in range(first, first + 20)]
+            pq.write_table(pa.table(dict(zip(("id", "s", "v"), zip(*rows[first:]))), schema=pa.schema([("id", pa.int64()), ("s", pa.string()), ("v", pa.int32())])), path)
+            paths.append(path)
+    keyed = with_file_order_key(tag_file_order(spark.read.parquet(*paths)), "k")
+    assert [r.id for r in keyed.orderBy("k").collect()] == list(range(len(rows)))
+    for by, groups in (([], [rows]), (["s"], [[r for r in rows if r[1]], [r for r in rows if not r[1]]])):
+        filled = fill_ordered(keyed, ["v"], "k", by=by, block=4)
+        assert filled.columns == keyed.columns and filled.schema["k"].dataType == keyed.schema["k"].dataType
+        assert {(r.id, r.v) for r in filled.collect()} == set().union(*[fill_rows([(i, v) for i, _, v in g]) for g in groups])
+
+
 def test_fill_with_very_sparse_keys_and_null_series(spark):
     rows = [(-(1 << 62) + i * (1 << 40), "a" if i % 2 else None, i if i % 5 == 0 else None) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, s string, v int")
