@@ -11,7 +11,7 @@ partition.
 2. per (series, block): first and last non-null value (a hash aggregate with
    map-side combine; only one row per block and task is shuffled);
 3. carry across blocks in levels: the block summaries are carried within
-   groups (2^20 block numbers; or a file, files of a like name, a folder),
+   groups (2^22 block numbers; or a file, files of a like name, a folder),
    the groups' summaries likewise one level up, until few are left;
 4. join the carry back on (series, block) — only the summary side moves —
    and coalesce.
@@ -21,8 +21,6 @@ The summary holds about rows / block rows, one per row at most (very sparse keys
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,16 +62,10 @@ def with_file_order_key(df: DataFrame, name: str = "row_id") -> DataFrame:
     return tagged.withColumn(name, F.struct(folder.alias("folder"), file.alias("file"), F.col(row).alias("row"))).drop(path, row)
 
 
-CARRY_BITS = 20
+CARRY_BITS = 22
 NAME_HEAD = 8  # leading characters of a file name that files of one group share
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
-    return left.join(right, same, "left").drop(*[f"_r_{c}" for c in on])
-
-
 def _carry(summary: DataFrame, cols, by, keys, asc: bool) -> DataFrame:
     """Per summary row: ``_c_`` the nearest value of the rows before it, ``_s_`` the series' edge value.
 
@@ -91,7 +83,7 @@ def _carry(summary: DataFrame, cols, by, keys, asc: bool) -> DataFrame:
                               *[F.first(f"{far}{c}", ignorenulls=True).over(whole).alias(f"_s_{c}") for c in cols])
     local = summary.select(*group, key, *[F.last(f"{near}{c}", ignorenulls=True).over(before).alias(f"_b_{c}") for c in cols])
     above = _carry(_summary(summary, cols, group, key, lambda c: (f"_f_{c}", f"_l_{c}")), cols, by, up, asc)
-    joined = _join_null_safe(local, above, group)
+    joined = local.join(above, group, "left")
     return joined.select(*group, key, *[F.coalesce(f"_b_{c}", f"_c_{c}").alias(f"_c_{c}") for c in cols], *[f"_s_{c}" for c in cols])
 
 
@@ -114,12 +106,16 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     the key of :func:`with_file_order_key`. ``by`` restricts the fill to each
     series (a null key is a series). ``block`` is rounded up to a power of two.
     """
-    cols, by = list(cols), list(by)
+    cols = list(cols)
     kind = dict(df.dtypes).get(order)
     blk, at = "_fill_blk", "_fill_at"
+    # A struct is never null and equal to one with the same nulls, so plain
+    # equality joins series and the rows keep the partitioning of their window.
+    place = {"_fill_by": F.struct(*by)} if by else {}
+    by = list(place)
     bits = max(1, (int(block) - 1).bit_length())
     if kind in ("tinyint", "smallint", "int", "bigint"):
-        place = {at: F.col(order).cast("long")}
+        place[at] = F.col(order).cast("long")
         key = F.col(order)
         ups, left = {}, 64 - bits
         while left > CARRY_BITS:
@@ -128,7 +124,7 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
         keys = [*ups, blk]
     elif kind == FILE_ORDER:
         folder, file, head = "_fill_folder", "_fill_file", "_fill_head"
-        place = {folder: F.col(order)["folder"], file: F.col(order)["file"], at: F.col(order)["row"]}
+        place |= {folder: F.col(order)["folder"], file: F.col(order)["file"], at: F.col(order)["row"]}
         key = F.struct(F.col(folder).alias("folder"), F.col(file).alias("file"), F.col(at).alias("row")).alias(order)
         ups, keys = {head: F.left(F.col(file), F.lit(NAME_HEAD))}, [folder, head, file, blk]
     else:
@@ -153,7 +149,7 @@ def fill_ordered(df: DataFrame, cols, order: str, by=(), directions=("backward",
     # per map task instead of re-running the sorted block windows.
     summary = _summary(tagged, cols, part, at, lambda c: (c, c))
     carry = _carry(summary.withColumns(ups), cols, by, keys, asc).drop(*ups)
-    joined = _join_null_safe(local, carry, part)
+    joined = local.join(carry, part, "left")
 
     def filled(c):
         parts = [F.col(f"_p_{c}"), F.col(f"_c_{c}")] + ([F.col(f"_s_{c}")] if len(directions) == 2 else [])

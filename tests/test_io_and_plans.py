@@ -119,7 +119,22 @@ def test_no_single_partition_exchange_over_rows(spark):
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
                 below = " ".join(lines[i + 1:i + 4])
-                assert "HashAggregate(keys=[_fill_blk_2" in below or "SortAggregate(key=[_fill_folder" in below, (name, line)
+                assert "HashAggregate(keys=[_fill_blk_1" in below or "SortAggregate(key=[_fill_folder" in below, (name, line)
+
+
+def test_fill_moves_the_rows_once(spark):
+    """Rows are exchanged for their window only; the join with the carry keeps that partitioning."""
+    from cityflow.operators.fill import fill_ordered
+    df = spark.range(1000).selectExpr("id", "if(id % 7 = 0, id, null) v", "if(id % 2 = 0, 'a', null) s")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for by in ([], ["s"]):
+            plan = _plan(fill_ordered(df, ["v"], "id", by=by))
+            top = plan[plan.index("SortMergeJoin"):plan.index("Window")]
+            assert "Exchange" not in top and "Project [id" in top
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_zone_lookup_is_broadcast(spark):
