@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from cityflow.llm.common import materialise, reshuffled
 
-#: Words a unit needs to be compared; shorter ones stay.
+#: Words a unit needs in OP5_SQL. The operator has no floor: it compares every unit that is not empty.
 MIN_WORDS = 10
 #: How a text is cut: single lines, or stretches between blank lines.
 SEPARATORS = {"line": r"\n", "paragraph": r"\n[ \t\r\f\x0b]*\n\s*"}
@@ -33,16 +33,16 @@ def units_of(text: str, unit: str = "line") -> Iterator[tuple[int, int, int, str
     yield at, len(text), len(text), _SPACE.sub(" ", text[at:].lower()).strip(" ")
 
 
-def unit_table(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
+def unit_table(documents: DataFrame, unit: str = "line", min_words: int = 1,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A slim row (see ``UNITS``) of every unit with ``min_words`` words; null texts have none."""
+    """A slim row (see ``UNITS``) of every unit that is not empty and has ``min_words`` words; null texts have none."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64()] * 5 + [pa.binary()]
         for batch in batches:
             columns = [[], [], [], [], [], []]
             for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 for start, end, resume, norm in units_of(text.as_py() or "", unit):
-                    if norm.count(" ") + 1 >= min_words:
+                    if norm and norm.count(" ") + 1 >= min_words:
                         for column, value in zip(columns, (doc, key, start, end, resume, hashlib.blake2b(norm.encode(), digest_size=16).digest())):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=UNITS.names)
@@ -62,7 +62,7 @@ def mark_repeats(units: DataFrame) -> DataFrame:
     return joined.select(*units.columns, F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start"), (~same).alias("removed"))
 
 
-def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
+def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 1,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``documents`` without their repeated units, with ``removed_spans`` and ``kept_spans``.
 

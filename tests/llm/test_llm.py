@@ -165,6 +165,13 @@ def test_units_on_odd_rows(odd, clashing):
     assert units.remove_repeats(clashing).count() == len(ODD)
 
 
+def test_units_of_any_length_are_compared(spark):
+    data = [(1, "All rights reserved.\n\nown\n \nLes."), (2, "les.\n\nAll  rights reserved.\n \nother"), (3, "Les."), (4, "\n\n")]
+    got = {r.doc_id: (r.n_removed, r.text) for r in units.op5_unit_dedup(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    # Empty lines are no units and stay.
+    assert got == {1: (0, data[0][1]), 2: (2, "\n \nother"), 3: (1, ""), 4: (0, "\n\n")}
+
+
 # ------------------------------------------------------------------ exact dedup
 def brute_exact(data):
     norm = lambda t: "".join(ch for ch in t or "" if ch not in " \t\n\x0b\x0c\r")
