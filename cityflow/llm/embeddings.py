@@ -82,8 +82,8 @@ def shard_links(shards: DataFrame, threshold: float, recall: float) -> DataFrame
         for frame in frames:
             for row in frame.itertuples():
                 x, q = _matrix([row.units], int(row.dims)), _matrix([row.q_units], int(row.dims))
-                found = range_pairs(Graph.unpack(x, row.graph), x, q, threshold, recall)
                 same = row.shard == row.q_shard
+                found = range_pairs(Graph.unpack(x, row.graph), x, q, threshold, recall, own=same)
                 if same:
                     np.fill_diagonal(found, False)
                     linked, raw = found | found.T, row.digests

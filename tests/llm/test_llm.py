@@ -232,6 +232,40 @@ def test_graph_search_reaches_recall(spark):
     assert not (found & ~truth).any() and (found & truth).sum() >= 0.99 * truth.sum()
 
 
+class BlindGraph(Graph):
+    """Finds hot rows only, until the beam is wide."""
+    hot = 0
+
+    def search(self, q, beam):
+        rows = np.arange(len(self.x) if beam >= 256 else self.hot)
+        sims = q @ self.x[rows].T
+        top = np.argsort(-sims, axis=1, kind="stable")[:, :beam]
+        pad = ((0, 0), (0, max(0, beam - len(rows))))
+        return np.pad(rows[top], pad, constant_values=-1), np.pad(np.take_along_axis(sims, top, 1), pad, constant_values=-np.inf)
+
+
+def test_recall_is_measured_on_sparse_links_and_beside_a_hot_group():
+    rng = np.random.default_rng(4)
+    near = lambda rows: rows + rng.normal(size=rows.shape) * 0.005
+    unit = lambda rows: rows / np.linalg.norm(rows, axis=1)[:, None]
+    x, q = rng.normal(size=(1500, 32)), rng.normal(size=(1500, 32))
+    q[1:22] = near(x[1:22])  # two blocks with 21 links
+    x, q = unit(x), unit(q)
+    graph = BlindGraph.unpack(x, Graph(x).pack())
+    truth = q @ x.T >= 0.98
+    assert truth.sum() == 21 and (range_pairs(graph, x, q, 0.98) == truth).all()
+    x = rng.normal(size=(1500, 32))
+    x[:600] = near(np.repeat(x[:1], 600, axis=0))
+    x[900:940] = near(x[600:640])  # a hot group beside 40 groups of two
+    x = unit(x)
+    graph = BlindGraph.unpack(x, Graph(x).pack())
+    graph.hot = 600
+    truth = x @ x.T >= 0.98
+    for own in (True, False):
+        found = range_pairs(graph, x, x, 0.98, own=own)
+        assert (found | np.eye(1500, dtype=bool))[600:][truth[600:]].mean() >= 0.99
+
+
 def test_embeddings_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "SHARD_ROWS", 40)  # several shards of a label
     rng = np.random.default_rng(2)
