@@ -19,10 +19,8 @@ BITS, DIM, GRAMS = 13, 16, (3, 4)
 PIECE_BYTES = 1 << 20
 #: Labelled rows per language that the fit may gather (its only sample), and languages at most.
 ROWS_PER_LANG, MAX_LANGS = 500, 1000
-#: Share of rightly read calibration rows that the rejection threshold may lose.
-REJECT_SHARE = 0.0005
-#: A score from here on is never rejected.
-NEVER_REJECTED = 0.4
+#: Share of rightly read rows that the rejection threshold may lose; 99 calibration rows resolve it.
+REJECT_SHARE = 0.01
 UNKNOWN = "und"
 
 # Byte classes: ASCII letters in lower case, bytes of other scripts as they are, the rest a space.
@@ -125,8 +123,9 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 25, bat
     """SGD on ``(buckets, counts, lang)`` rows; every fifth row only calibrates.
 
     The temperature minimises the calibration rows' loss. The rejection
-    threshold is their conformal quantile: at most ``REJECT_SHARE`` of rightly
-    read rows fall below it, and none with a score of ``NEVER_REJECTED``.
+    threshold is the conformal quantile of the rightly read ones: at most
+    ``REJECT_SHARE`` of such rows fall below it, or 1 in n + 1 if n of them
+    are too few to resolve that share.
     """
     langs = sorted({lang for *_, lang in samples})
     if not langs:
@@ -165,7 +164,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 25, bat
     model.temperature = float(min(np.geomspace(0.1, 100, 61), key=loss))
     p = model.probabilities(logits)
     good = np.sort(p.max(axis=1)[p.argmax(axis=1) == truth])
-    model.threshold = min(NEVER_REJECTED, float(good[int(REJECT_SHARE * (len(good) + 1))])) if len(good) else 0.0
+    model.threshold = float(good[max(1, int(REJECT_SHARE * (len(good) + 1))) - 1]) if len(good) else 0.0
     return model
 
 

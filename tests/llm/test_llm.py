@@ -303,6 +303,20 @@ def test_language_on_held_out_rows(spark):
     assert out.where("lang = lang_pred").count() >= 0.98 * out.count()
 
 
+def test_language_rejects_documents_of_an_unlearned_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.train(docs.where("lang <> 'es'"))
+    rng = random.Random(9)
+    letters = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(120))
+    junk = spark.createDataFrame([(-1 - i, letters(), None) for i in range(100)], "doc_id long, text string, lang string")
+    some = docs.where(langid.held_out("doc_id")).select("doc_id", "text", "lang").unionAll(junk)
+    kind = F.when(F.col("lang").isNull(), "junk").when(F.col("lang") == "es", "unlearned").otherwise("learned")
+    got = langid.identify(some, model).groupBy(kind.alias("kind")).agg(F.avg(F.col("lang_rejected").cast("int")).alias("r"))
+    share = {r.kind: r.r for r in got.collect()}
+    print(share)
+    assert share["unlearned"] > 0.9 and share["junk"] == 1 and share["learned"] < 0.04
+
+
 def test_language_edge_cases(odd, empty, clashing):
     model = langid.train(odd)
     got = langid.identify(odd, model).collect()
