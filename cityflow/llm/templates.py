@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cityflow.llm.common import materialise
 from cityflow.llm.common_lines import LINE_SPACE, lines_of, without_lines
 
-#: Leading tokens on the path to a leaf, and tokens a line needs to enter the tree.
+#: Leading tokens on the path to a leaf (a shorter line is its own path), and tokens a line needs in OP2_SQL.
+#: The operator has no floor: every line that is not empty enters the tree.
 DEPTH, MIN_TOKENS = 3, 4
 #: A line belongs to its leaf's template if this share (in tenths) of its tokens agrees.
 SIMILAR_TENTHS = 7
@@ -38,7 +39,7 @@ def _tree_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
                             F.posexplode(F.transform(lines_of(F.col(text_col)), masked)).alias("pos", "masked"))
     tokens = F.when(F.col("masked") == "", 0).otherwise(F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
     path = F.substring_index("masked", " ", DEPTH)
-    return rows.where(tokens >= MIN_TOKENS).select("id", "text_hash", "pos", F.xxhash64(tokens, path).alias("leaf"),
+    return rows.where(tokens > 0).select("id", "text_hash", "pos", F.xxhash64(tokens, path).alias("leaf"),
                                                    F.xxhash64("masked").alias("line"))
 
 
@@ -80,8 +81,8 @@ def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     A line whose template occurs in at least ``min_docs`` different documents
     goes, except in the document of the smallest id that has it, so the
-    corpus keeps one copy of everything. Lines of fewer than ``MIN_TOKENS``
-    tokens stay. Null ids count as one document, before all others.
+    corpus keeps one copy of everything. Empty lines stay. Null ids count as
+    one document, before all others.
     """
     found = materialise(_tree_rows(documents, id_col, text_col), "lines")
     seen = materialise(found.select("leaf", "line", "id").distinct(), "lines-seen")

@@ -102,6 +102,13 @@ def test_templates_generalise_positions_beyond_digits(spark):
     assert got == {0: 0, 1: 1, 2: 1, 3: 1}
 
 
+def test_templates_of_short_lines(spark):
+    data = [(i, f"All rights reserved.\n\nown line of {w}\nLes.\nPage {i}") for i, w in enumerate("abc")] + [(7, "rights reserved.")]
+    got = {r.doc_id: r.text for r in templates.drop_recurring(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    # "own line of <w>" is one template too.
+    assert got == {0: data[0][1], 1: "", 2: "", 7: "rights reserved."}
+
+
 # ------------------------------------------------------------------ mixing
 def test_mixing_inverts_the_poisson_distribution(spark, odd, empty, clashing):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3600, "big").otherwise("small").alias("source"))
