@@ -44,36 +44,64 @@ def _tree_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _templates(documents: DataFrame, found: DataFrame, seen: DataFrame, min_docs: int, id_col: str, text_col: str) -> DataFrame:
-    """``(leaf, line, template)`` of the distinct lines that belong to their leaf's common template.
+    """``(leaf, line, template)`` of the distinct lines that belong to a template of their leaf.
 
     Only leaves with several different lines and at least ``min_docs``
     sightings can yield one. In such a leaf each position's most frequent
     token over the different lines (ties: the smallest) is the template's
     token; a line agreeing in enough positions joins it, its other positions
-    being variable. The tokens are read again from one document per line.
+    being variable. The lines that missed it are a group of their own for the
+    next round; a group that none joined is split by the tokens of the
+    position that holds its most frequent token not shared by all, until no
+    two lines share one. The tokens are read again from one document per line.
     """
     wide = (seen.groupBy("leaf", "line").agg(F.count("*").alias("docs")).groupBy("leaf")
             .agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
             .where((F.col("lines") > 1) & (F.col("docs") >= min_docs)).select(_opaque(F.col("leaf")).alias("leaf")))
     place = F.min(F.struct("id", "text_hash", "pos")).alias("place")
-    wanted = found.join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(place)
+    wanted = found.join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(place, F.count("*").alias("sightings"))
     wanted = wanted.groupBy(F.col("place.id").alias("__id"), F.col("place.text_hash").alias("__hash")).agg(
-        F.collect_list(F.struct(F.col("place.pos").alias("pos"), "leaf", "line")).alias("wanted"))
+        F.collect_list(F.struct(F.col("place.pos").alias("pos"), "leaf", "line", "sightings")).alias("wanted"))
     text = F.col(text_col)
     lines = (documents.select(F.col(id_col).alias("id"), text.alias("text")).join(
         wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")))
         .select(lines_of(F.col("text")).alias("lines"), "wanted")
         .select(F.explode(F.transform("wanted", lambda w: F.struct(
-            w["leaf"].alias("leaf"), w["line"].alias("line"), masked(F.get("lines", w["pos"])).alias("masked")))).alias("w")).select("w.*"))
+            w["leaf"].alias("leaf"), w["line"].alias("line"), w["sightings"].alias("sightings"),
+            masked(F.get("lines", w["pos"])).alias("masked")))).alias("w")).select("w.*"))
     lines = lines.dropDuplicates(["leaf", "line"])  # rows equal in id and text bring a line twice
-    tokens = materialise(lines.withColumn("n", F.size(F.split("masked", " "))).select(
-        "leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("at", "token")), "template-tokens")
-    counts = tokens.groupBy("leaf", "at", "token").agg(F.count("*").alias("c"))
-    modal = (counts.groupBy("leaf", "at").agg(F.min(F.struct(-F.col("c"), F.col("token"))).alias("best"))
-             .select(_opaque(F.col("leaf")).alias("leaf"), "at", F.col("best.token").alias("modal")))
-    agree = (tokens.join(modal, ["leaf", "at"]).groupBy("leaf", "line", "n")
-             .agg(F.count_if(F.col("token") == F.col("modal")).alias("same")))
-    return agree.where(F.col("same") * 10 >= F.col("n") * SIMILAR_TENTHS).select("leaf", "line", F.col("leaf").alias("template"))
+    rest = materialise(lines.select("leaf", "line", "sightings", F.col("leaf").alias("group"), F.split("masked", " ").alias("tokens")), "template-lines")
+    names, at = None, 0
+    while at == 0 or not rest.isEmpty():
+        judged = materialise(_judged(rest, min_docs), "template-round")
+        joined = judged.where("joins").select("leaf", "line", F.col("group").alias("template"))
+        names = joined if names is None else names.unionAll(joined)
+        some = judged.groupBy("group").agg(F.max("joins").alias("any")).select(_opaque(F.col("group")).alias("group"), "any")
+        again = F.when(F.col("any"), F.xxhash64("group", F.lit(at))).otherwise(
+            F.xxhash64("group", F.lit(at), "split", F.get("tokens", F.col("split"))))
+        rest = materialise(judged.where("not joins").join(some, "group").where(F.col("any") | F.col("split").isNotNull()).select(
+            "leaf", "line", "sightings", again.alias("group"), "tokens"), "template-rest")
+        at += 1
+    return names
+
+
+def _judged(rest: DataFrame, min_docs: int) -> DataFrame:
+    """``rest`` with ``joins`` (the line agrees with its group's modal tokens) and ``split``, the position to split the group at (null: none).
+
+    Groups of one line, or with too few sightings, are left out.
+    """
+    counts = (rest.select("group", "sightings", F.posexplode("tokens").alias("at", "token")).groupBy("group", "at", "token")
+              .agg(F.count("*").alias("c"), F.sum("sightings").alias("s")))
+    places = counts.groupBy("group", "at").agg(F.min(F.struct(-F.col("c"), F.col("token"))).alias("best"),
+                                               F.max("c").alias("c"), F.sum("c").alias("lines"), F.sum("s").alias("s"))
+    odd = F.when((F.col("c") < F.col("lines")) & (F.col("c") > 1), F.struct(F.col("c"), -F.col("at")))
+    modal = (places.groupBy("group").agg(F.sort_array(F.collect_list(F.struct(F.col("at"), F.col("best.token").alias("token")))).alias("modal"),
+                                         F.max(odd).alias("odd"), F.max("lines").alias("lines"), F.max("s").alias("s"))
+             .where((F.col("lines") > 1) & (F.col("s") >= min_docs))
+             .select(_opaque(F.col("group")).alias("group"), F.col("modal.token").alias("modal"), (-F.col("odd.col2")).alias("split")))
+    same = F.aggregate(F.zip_with("tokens", "modal", lambda a, b: (a == b).cast("int")), F.lit(0), lambda a, b: a + b)
+    return rest.join(modal, "group").select("leaf", "line", "sightings", "group", "tokens", "split",
+                                            (same * 10 >= F.size("tokens") * SIMILAR_TENTHS).alias("joins"))
 
 
 def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:

@@ -109,6 +109,17 @@ def test_templates_of_short_lines(spark):
     assert got == {0: data[0][1], 1: "", 2: "", 7: "rights reserved."}
 
 
+def test_templates_of_one_leaf(spark):
+    drop = lambda lines: {r.doc_id: r.n_dropped for r in templates.drop_recurring(
+        spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()}
+    one = [f"login at the desk for {w} failed again" for w in "abcdefghij"]
+    two = [f"login at the host by {w} was fine" for w in "klmn"]
+    assert drop(one + two) == {i: int(i not in (0, 10)) for i in range(14)}
+    # The modal tokens are a blend that no line matches.
+    mixed = [f"a b c {w} {w}1x {w}q {w}r {x}" for w in ("dog", "cat", "cow", "hen") for x in ("one", "two", "six")]
+    assert drop(mixed) == {i: int(i % 3 > 0) for i in range(12)}
+
+
 # ------------------------------------------------------------------ mixing
 def test_mixing_inverts_the_poisson_distribution(spark, odd, empty, clashing):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3600, "big").otherwise("small").alias("source"))
