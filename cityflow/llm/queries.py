@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import embeddings, exact_mphf, forest, gam, langid, mixing, packing, templates, units, warc
+from cityflow.llm import (alignment, embeddings, exact_mphf, fingerprints, forest, gam, langid, mixing, packing, ranking, templates, units,
+                          warc)
 from cityflow.llm.common import table
 
 
@@ -16,6 +17,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    """The public sentence-piece model aligned with it by default."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op1_warc(table(spark, sf_dir, "pages"))
 
@@ -56,12 +63,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op10_packing(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.op11_alignment(table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.op12_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.op13_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_warc, op2_line_dedup, op3_mixing, op4_quality, op5_substring_dedup, op6_exact_dedup,
-                            op7_embedding_near_dup, op8_language_id, op9_ngram_jaccard, op10_packing)}
+                            op7_embedding_near_dup, op8_language_id, op9_ngram_jaccard, op10_packing,
+                            op11_alignment, op12_fingerprints, op13_ranked_search)}
 
 #: SQL for the queries it can express; the others are tested against brute force, round trips or held-out accuracy.
 ORACLE: dict[str, str] = {
     "op1_warc": warc.OP1_SQL, "op2_line_dedup": templates.OP2_SQL, "op3_mixing": mixing.OP3_SQL,
     "op5_substring_dedup": units.OP5_SQL, "op6_exact_dedup": exact_mphf.OP6_SQL,
-    "op7_embedding_near_dup": embeddings.OP7_SQL, "op9_ngram_jaccard": forest.OP9_SQL}
+    "op7_embedding_near_dup": embeddings.OP7_SQL, "op9_ngram_jaccard": forest.OP9_SQL,
+    "op13_ranked_search": ranking.OP13_SQL}
