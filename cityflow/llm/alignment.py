@@ -116,15 +116,19 @@ def aligned(pair: Pair, texts: list[str | None]) -> dict[str, list]:
     a, b = (np.concatenate([c[k] for c in codes]) if codes else np.empty(0, np.int64) for k in (0, 1))
     doc = np.repeat(np.arange(len(texts)), n_a)
     end_a, end_b = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
-    shared = np.intersect1d(end_a, end_b, assume_unique=True)
+    # At each byte offset: 1 if a token of A ends there, 2 if one of B does.
+    ends = np.zeros(int(end_a[-1]) + 1 if len(a) else 0, np.uint8)
+    ends[end_a] = 1
+    ends[end_b] += 2
     # Between two neighbouring ends of either lies one overlap of an A with a B token.
-    every = np.unique(np.concatenate([end_a, end_b]))
-    at_a, at_b = np.searchsorted(end_a, every), np.searchsorted(end_b, every)
-    groups_a, groups_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+    ends = ends[ends > 0]
+    of_a, of_b, shared = (ends & 1) > 0, ends > 1, ends == 3
+    at_a, at_b, group = (np.cumsum(x) - x for x in (of_a, of_b, shared))
+    groups_a, groups_b = group[of_a], group[of_b]
     link_a, link_b, link_doc = a[at_a], b[at_b], doc[at_a]
     # A pair of the map also counts where it overlaps inside a larger group, so that all its sightings are in the vector.
     plain = pair.same[link_a] == link_b
-    n_groups = np.bincount(doc[np.searchsorted(end_a, shared)], minlength=len(texts)) if len(doc) else np.zeros(len(texts), np.int64)
+    n_groups = np.bincount(link_doc[shared], minlength=len(texts))
     same, same_times = _per_document(link_doc[plain], link_a[plain], len(texts))
     odd, odd_times = _per_document(link_doc[~plain], link_a[~plain] * PAIR_BASE + link_b[~plain], len(texts))
     text, sizes = pair.written(a, b, groups_a, groups_b)
