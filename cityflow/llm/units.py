@@ -1,4 +1,4 @@
-"""Substring deduplication by hashing lines or paragraphs."""
+"""Substring deduplication by hashing lines, sentences or paragraphs."""
 
 from __future__ import annotations
 
@@ -7,21 +7,23 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cityflow.llm.common import materialise, reshuffled
 
-#: Words a unit needs in OP5_SQL. The operator has no floor: it compares every unit that is not empty.
-MIN_WORDS = 10
-#: How a text is cut: single lines, or stretches between blank lines.
-SEPARATORS = {"line": r"\n", "paragraph": r"\n[ \t\r\f\x0b]*\n\s*"}
+#: How a text is cut: single lines; sentences inside lines (white space after ``.``, ``!`` or ``?``); stretches between blank lines.
+SEPARATORS = {"line": r"\n", "sentence": r"\n|(?<=[.!?])[ \t\r\f\x0b]+", "paragraph": r"\n[ \t\r\f\x0b]*\n\s*"}
+#: Words that consecutive repeated units need together before the query cuts them.
+RUN_WORDS = 30
 _SPACE = re.compile(r"[ \t\r\f\x0b\n]+")
 
+#: A unit of a document: its number among those that are not empty, its words, its place and the gap to the next in code points.
 UNITS = T.StructType([T.StructField("id", T.LongType()), T.StructField("text_hash", T.LongType()),
-                      T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
-                      T.StructField("resume", T.LongType()), T.StructField("digest", T.BinaryType())])
+                      T.StructField("seq", T.IntegerType()), T.StructField("words", T.IntegerType()),
+                      T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType()),
+                      T.StructField("gap", T.IntegerType()), T.StructField("digest", T.BinaryType())])
 
 
 def units_of(text: str, unit: str = "line") -> Iterator[tuple[int, int, int, str]]:
@@ -37,47 +39,74 @@ def unit_table(documents: DataFrame, unit: str = "line", min_words: int = 1,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A slim row (see ``UNITS``) of every unit that is not empty and has ``min_words`` words; null texts have none."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64()] * 5 + [pa.binary()]
+        types = [pa.int64()] * 2 + [pa.int32()] * 5 + [pa.binary()]
         for batch in batches:
-            columns = [[], [], [], [], [], []]
+            columns = [[] for _ in types]
             for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                seq = 0
                 for start, end, resume, norm in units_of(text.as_py() or "", unit):
-                    if norm and norm.count(" ") + 1 >= min_words:
-                        for column, value in zip(columns, (doc, key, start, end, resume, hashlib.blake2b(norm.encode(), digest_size=16).digest())):
+                    if not norm:
+                        continue
+                    words = norm.count(" ") + 1
+                    if words >= min_words:
+                        digest = hashlib.blake2b(norm.encode(), digest_size=16).digest()
+                        for column, value in zip(columns, (doc, key, seq, words, start, end - start, resume - end, digest)):
                             column.append(value)
+                    seq += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=UNITS.names)
     return documents.select(F.col(id_col).cast("long"), F.xxhash64(text_col), F.col(text_col)).mapInArrow(cut, UNITS)
 
 
 def mark_repeats(units: DataFrame) -> DataFrame:
-    """``units`` with ``first_id``, ``first_start`` of the earliest equal unit and ``removed``.
+    """The units that repeat an earlier one, with ``first_id`` and ``first_start`` of the earliest equal unit.
 
     Earliest is the smallest id, then the smallest start; null ids come last.
     Rows equal in id and text are the same document and marked alike.
     """
     rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "start", "text_hash")
-    first = units.groupBy("digest").agg(F.min(rank).alias("first"))
-    joined = units.join(first.select(reshuffled(F.col("digest")).alias("digest"), "first"), "digest")
+    first = (units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("copies"))
+             .where("copies > 1").select(reshuffled(F.col("digest")).alias("digest"), "first"))
     same = F.struct(F.col("id").isNull(), "id", "start", "text_hash").eqNullSafe(F.col("first"))
-    return joined.select(*units.columns, F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start"), (~same).alias("removed"))
+    return (units.join(first, "digest").where(~same)
+            .select(*units.columns, F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start")))
 
 
-def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 1,
+def _cuts(repeats: DataFrame, min_run_words: int) -> DataFrame:
+    """``(__id, __hash, __gone, __short)``: the units to cut of each document, and how many repeats are left.
+
+    Repeats with no other unit but empty ones between them are a run; a run
+    goes if its units have ``min_run_words`` words together.
+    """
+    slim = repeats.select("id", "text_hash", "seq", "words", "start", "size", "gap").dropDuplicates(["id", "text_hash", "seq"])
+    document = Window.partitionBy("id", "text_hash")
+    runs = slim.withColumn("run", F.col("seq") - F.row_number().over(document.orderBy("seq")))
+    long = F.sum("words").over(Window.partitionBy("id", "text_hash", "run")) >= min_run_words
+    place = F.struct(F.col("start").cast("long").alias("start"), (F.col("start") + F.col("size")).cast("long").alias("end"),
+                     (F.col("start") + F.col("size") + F.col("gap")).cast("long").alias("resume"))
+    return runs.withColumn("long", long).groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).agg(
+        F.sort_array(F.collect_list(F.when(F.col("long"), place))).alias("__gone"), F.count_if(~F.col("long")).alias("__short"))
+
+
+def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 1, min_run_words: int = 1,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``documents`` without their repeated units, with ``removed_spans`` and ``kept_spans``.
+    """``documents`` without their repeated units, with ``removed_spans``, ``kept_spans`` and ``n_short_repeats``.
+
+    Every unit that is not empty (and has ``min_words`` words) is compared
+    with all others; the earliest of equal ones stays. Repeats are cut where
+    consecutive ones have ``min_run_words`` words together (1: all are);
+    ``n_short_repeats`` counts those left.
 
     Spans are ``(start, end)`` in code points of the original text; the text
     is its kept spans put together, a removed unit taking the separator after
-    it along (the last unit: the one before). Null texts stay null with empty
-    spans, empty tables stay empty, and columns of the two names are
-    replaced.
+    it along (the last unit: the one before, if that is a line's end). Null
+    texts stay null with empty spans, empty tables stay empty, and columns of
+    the three names are replaced.
     """
-    marked = mark_repeats(materialise(unit_table(documents, unit, min_words, id_col, text_col), "units")).where("removed")
-    gone = (marked.groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
-            .agg(F.sort_array(F.collect_set(F.struct("start", "end", "resume"))).alias("__gone")))
-    names = [c for c in documents.columns if c not in ("removed_spans", "kept_spans")]
-    text = F.col(text_col)
-    joined = documents.select(*names).join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
+    gone = _cuts(mark_repeats(materialise(unit_table(documents, unit, min_words, id_col, text_col), "units")), min_run_words)
+    names = [c for c in documents.columns if c not in ("removed_spans", "kept_spans", "n_short_repeats")]
+    own = [f"__{i}" for i in range(len(names))]
+    id_own, text = F.col(own[names.index(id_col)]), F.col(own[names.index(text_col)])
+    joined = documents.select(*[F.col(c).alias(o) for c, o in zip(names, own)]).join(gone, id_own.eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
     empty = F.array().cast("array<struct<start:bigint,end:bigint,resume:bigint>>")
     joined = joined.withColumn("__gone", F.coalesce("__gone", empty))
     size = F.length(text).cast("long")
@@ -87,16 +116,17 @@ def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 1,
                      lambda s: s["end"] > s["start"])
     removed = F.transform("__gone", lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    out = joined.withColumns({"kept_spans": F.when(text.isNull(), none).otherwise(spans), "removed_spans": removed})
+    out = joined.withColumns({"kept_spans": F.when(text.isNull(), none).otherwise(spans), "removed_spans": removed,
+                              "n_short_repeats": F.coalesce("__short", F.lit(0).cast("long"))})
     # A text that lost its last unit ends at the separator before it.
     tail = (F.size("__gone") > 0) & (F.element_at("__gone", F.when(F.size("__gone") > 0, -1).otherwise(F.lit(None)))["end"] == size)
-    cut = _spliced(text_col)
+    cut = _spliced(text)
     return out.withColumn("__t", cut).select(
         *[F.when(F.size("__gone") == 0, text).when(tail, F.regexp_replace("__t", "\n\\s*$" if unit == "paragraph" else "\n$", "")).otherwise(F.col("__t")).alias(c)
-          if c == text_col else F.col(c) for c in names], "removed_spans", "kept_spans")
+          if c == text_col else F.col(o).alias(c) for c, o in zip(names, own)], "removed_spans", "kept_spans", "n_short_repeats")
 
 
-def _spliced(text_col: str):
+def _spliced(text):
     """The kept spans of the text; cut in Python, where a slice costs its own length only."""
     from pyspark.sql.functions import arrow_udf
 
@@ -106,26 +136,34 @@ def _spliced(text_col: str):
             whole = text.as_py()
             out.append(None if whole is None else "".join(whole[s["start"]:s["end"]] for s in kept or []))
         return pa.array(out, pa.string())
-    return arrow_udf(splice, "string")(F.col(text_col), F.col("kept_spans"))
+    return arrow_udf(splice, "string")(text, F.col("kept_spans"))
 
 
 def op5_unit_dedup(documents: DataFrame) -> DataFrame:
-    out = remove_repeats(documents)
-    return out.select("doc_id", F.size("removed_spans").alias("n_removed"), F.col("removed_spans").cast("string").alias("removed"), "text")
+    out = remove_repeats(documents, "sentence", min_run_words=RUN_WORDS)
+    return out.select("doc_id", F.size("removed_spans").alias("n_removed"), "n_short_repeats",
+                      F.col("removed_spans").cast("string").alias("removed"), "text")
 
 
+#: chr(1), which no text of the tables holds, marks where a unit ends: before a line's end, or behind a full stop before white space.
 OP5_SQL = f"""
-WITH raw AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
-                    generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
-     placed AS (SELECT *, (sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY pos) - length(line) - 1)::BIGINT AS start FROM raw),
-     norm AS (SELECT *, trim(regexp_replace(lower(line), '[ \\t\\r\\f\\x0b]+', ' ', 'g'), ' ') AS n FROM placed),
-     ranked AS (SELECT *, length(n) - length(replace(n, ' ', '')) + 1 >= {MIN_WORDS} AS long,
-                       row_number() OVER (PARTITION BY n ORDER BY doc_id, start) AS rn FROM norm),
-     done AS (SELECT doc_id, text, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT (long AND rn > 1)) AS cleaned,
-                     count(*) FILTER (long AND rn > 1) AS c,
-                     string_agg('{{' || start || ', ' || (start + length(line)) || '}}', ', ' ORDER BY pos) FILTER (long AND rn > 1) AS spans
-              FROM ranked GROUP BY doc_id, text)
-SELECT d.doc_id, coalesce(c, 0)::INTEGER AS n_removed, '[' || coalesce(spans, '') || ']' AS removed,
-       CASE WHEN d.text IS NOT NULL THEN coalesce(cleaned, '') END AS text
+WITH cut AS (SELECT doc_id, text, unnest(string_split(regexp_replace(regexp_replace(text, '([.!?])([ \\t\\r\\f\\x0b]+)', '\\1' || chr(1) || '\\2' || chr(2), 'g'),
+                    '\\n', chr(1) || chr(10) || chr(2), 'g'), chr(2))) AS part,
+                    generate_subscripts(string_split(regexp_replace(regexp_replace(text, '([.!?])([ \\t\\r\\f\\x0b]+)', '\\1' || chr(1) || '\\2' || chr(2), 'g'),
+                    '\\n', chr(1) || chr(10) || chr(2), 'g'), chr(2)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+     sized AS (SELECT doc_id, text, pos, part LIKE '%' || chr(1) || '%' AS ended, split_part(part, chr(1), 1) AS unit, split_part(part, chr(1), 2) AS gap FROM cut),
+     placed AS (SELECT *, coalesce(sum(length(unit) + length(gap)) OVER (PARTITION BY doc_id, text ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+                       trim(regexp_replace(lower(unit), '[ \\t\\r\\f\\x0b]+', ' ', 'g'), ' ') AS n FROM sized),
+     counted AS (SELECT *, length(n) - length(replace(n, ' ', '')) + 1 AS words, row_number() OVER (PARTITION BY doc_id, text ORDER BY pos) AS seq,
+                        row_number() OVER (PARTITION BY n ORDER BY doc_id, start) > 1 AS again FROM placed WHERE n <> ''),
+     runs AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id, text ORDER BY seq) AS run FROM counted WHERE again),
+     judged AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, text, run) >= {RUN_WORDS} AS long FROM runs),
+     done AS (SELECT p.doc_id, p.text, string_agg(p.unit || p.gap, '' ORDER BY p.pos) FILTER (NOT coalesce(long, FALSE)) AS cleaned,
+                     count(*) FILTER (long) AS c, count(*) FILTER (NOT long) AS short,
+                     string_agg('{{' || p.start || ', ' || (p.start + length(p.unit)) || '}}', ', ' ORDER BY p.pos) FILTER (long) AS spans,
+                     coalesce(bool_or(long AND p.start + length(p.unit) = length(p.text)), FALSE) AS tail
+              FROM placed p LEFT JOIN judged j ON p.doc_id = j.doc_id AND p.text = j.text AND p.pos = j.pos GROUP BY p.doc_id, p.text)
+SELECT d.doc_id, coalesce(c, 0)::INTEGER AS n_removed, coalesce(short, 0) AS n_short_repeats, '[' || coalesce(spans, '') || ']' AS removed,
+       CASE WHEN d.text IS NULL THEN NULL WHEN tail THEN regexp_replace(coalesce(cleaned, ''), '\\n$', '') ELSE coalesce(cleaned, '') END AS text
 FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id AND d.text = done.text
 """

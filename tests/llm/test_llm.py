@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,7 @@ from cityflow.llm import embeddings, exact_mphf, forest, gam, langid, mixing, pa
 from cityflow.llm.components import connected_components
 from cityflow.llm.hnsw import Graph, range_pairs
 from cityflow.llm.shingles import shingle_sets
+from tests.conftest import SF001
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "the of and to in is that for it was on with as by at from this have not are but".split()
@@ -185,11 +187,64 @@ def test_units_on_odd_rows(odd, clashing):
 
 def test_units_of_any_length_are_compared(spark):
     data = [(1, "All rights reserved.\n\nown\n \nLes."), (2, "les.\n\nAll  rights reserved.\n \nother"), (3, "Les."), (4, "\n\n")]
-    got = {r.doc_id: (r.n_removed, r.text) for r in units.op5_unit_dedup(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    got = {r.doc_id: (len(r.removed_spans), r.text) for r in units.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     # Empty lines are no units and stay.
     assert got == {1: (0, data[0][1]), 2: (2, "\n \nother"), 3: (1, ""), 4: (0, "\n\n")}
 
 
+def brute_sentences(data, least):
+    """(id, removed spans, short repeats, text) of every row: sentences and lines, earliest stays, runs of repeats go."""
+    cut = re.compile(r"\n|(?<=[.!?])[ \t\r\f\x0b]+")
+    parts, first = [], {}
+    for doc, text in data:
+        at, own = 0, []
+        for gap in [(m.start(), m.end()) for m in cut.finditer(text or "")] + [(len(text or ""),) * 2]:
+            own.append((at, *gap, " ".join((text or "")[at:gap[0]].lower().split())))
+            at = gap[1]
+        parts.append([u for u in own if u[3]])
+        for start, _, _, norm in parts[-1]:
+            rank = (doc is None, doc or 0, start, text)
+            first[norm] = min(first.get(norm, rank), rank)
+    out = []
+    for (doc, text), own in zip(data, parts):
+        again = [first[u[3]] != (doc is None, doc or 0, u[0], text) for u in own]
+        gone, short, i = [], 0, 0
+        while i < len(own):
+            j = i
+            while j < len(own) and again[j]:
+                j += 1
+            if sum(len(u[3].split()) for u in own[i:j]) >= least:
+                gone += own[i:j]
+            else:
+                short += j - i
+            i = max(j, i + 1)
+        kept = [] if text is None else list(text)
+        for start, _, resume, _ in gone:
+            kept[start:resume] = [""] * (resume - start)
+        left = None if text is None else "".join(kept)
+        if gone and gone[-1][1] == len(text) and left.endswith("\n"):
+            left = left[:-1]
+        out.append((doc, [(u[0], u[1]) for u in gone], short, left))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("least", [1, 12, 30])
+def test_repeated_runs_of_sentences_equal_brute_force(spark, odd, clashing, least):
+    passage = " ".join(" ".join(words(9, s)).capitalize() + ("!" if s % 2 else ".") for s in range(40, 48))
+    own = lambda s: " ".join(words(15, s)).capitalize() + "."
+    data = [r[:2] for r in ODD if r[0] not in (None, 8)]
+    data += [(100, own(1) + " " + passage + " " + own(2)), (101, own(3) + "\n\n" + passage.upper() + "\n" + own(4)),
+             (102, own(5) + " " + " ".join(passage.split()[:18]) + " " + own(6)), (103, passage + "  " + own(7) + "\n" + passage), (104, own(1) + " no. end")]
+    data += [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select(F.col("doc_id") + 1000, "text").collect()]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    got = units.remove_repeats(df, "sentence", min_run_words=least)
+    assert sorted(((r.doc_id, [tuple(s) for s in r.removed_spans], r.n_short_repeats, r.text) for r in got.collect()), key=repr) == brute_sentences(data, least)
+    found = {r.doc_id: r for r in units.op5_unit_dedup(df).collect()}
+    assert [found[d].n_removed for d in range(100, 105)] == [0, 8, 0, 16, 0] and found[102].n_short_repeats == 2
+    for name in ("__gone", "__t", "__id", "__hash", "__0"):
+        assert units.remove_repeats(clashing.withColumn(name, F.lit("x")), "sentence").count() == len(ODD)
+
+
 # ------------------------------------------------------------------ exact dedup
 def brute_exact(data):
     norm = lambda t: "".join(ch for ch in t or "" if ch not in " \t\n\x0b\x0c\r")
