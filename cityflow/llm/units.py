@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,11 +19,9 @@ SEPARATORS = {"line": r"\n", "sentence": r"\n|(?<=[.!?])[ \t\r\f\x0b]+", "paragr
 RUN_WORDS = 30
 _SPACE = re.compile(r"[ \t\r\f\x0b\n]+")
 
-#: A unit of a document: its number among those that are not empty, its words, its place and the gap to the next in code points.
+#: A unit of a document, by its number among those that are not empty.
 UNITS = T.StructType([T.StructField("id", T.LongType()), T.StructField("text_hash", T.LongType()),
-                      T.StructField("seq", T.IntegerType()), T.StructField("words", T.IntegerType()),
-                      T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType()),
-                      T.StructField("gap", T.IntegerType()), T.StructField("digest", T.BinaryType())])
+                      T.StructField("seq", T.IntegerType()), T.StructField("digest", T.BinaryType())])
 
 
 def units_of(text: str, unit: str = "line") -> Iterator[tuple[int, int, int, str]]:
@@ -39,52 +37,59 @@ def unit_table(documents: DataFrame, unit: str = "line", min_words: int = 1,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A slim row (see ``UNITS``) of every unit that is not empty and has ``min_words`` words; null texts have none."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64()] * 2 + [pa.int32()] * 5 + [pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
-            columns = [[] for _ in types]
+            columns = [[], [], [], []]
             for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                seq = 0
-                for start, end, resume, norm in units_of(text.as_py() or "", unit):
-                    if not norm:
-                        continue
-                    words = norm.count(" ") + 1
-                    if words >= min_words:
-                        digest = hashlib.blake2b(norm.encode(), digest_size=16).digest()
-                        for column, value in zip(columns, (doc, key, seq, words, start, end - start, resume - end, digest)):
+                norms = [u[3] for u in units_of(text.as_py() or "", unit) if u[3]]
+                for seq, norm in enumerate(norms):
+                    if min_words <= 1 or norm.count(" ") + 1 >= min_words:
+                        for column, value in zip(columns, (doc, key, seq, hashlib.blake2b(norm.encode(), digest_size=16).digest())):
                             column.append(value)
-                    seq += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=UNITS.names)
     return documents.select(F.col(id_col).cast("long"), F.xxhash64(text_col), F.col(text_col)).mapInArrow(cut, UNITS)
 
 
 def mark_repeats(units: DataFrame) -> DataFrame:
-    """The units that repeat an earlier one, with ``first_id`` and ``first_start`` of the earliest equal unit.
+    """The units that repeat an earlier one, with ``first_id`` and ``first_seq`` of the earliest equal unit.
 
-    Earliest is the smallest id, then the smallest start; null ids come last.
+    Earliest is the smallest id, then the smallest place; null ids come last.
     Rows equal in id and text are the same document and marked alike.
     """
-    rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "start", "text_hash")
+    rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "seq", "text_hash")
     first = (units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("copies"))
              .where("copies > 1").select(reshuffled(F.col("digest")).alias("digest"), "first"))
-    same = F.struct(F.col("id").isNull(), "id", "start", "text_hash").eqNullSafe(F.col("first"))
+    same = F.struct(F.col("id").isNull(), "id", "seq", "text_hash").eqNullSafe(F.col("first"))
     return (units.join(first, "digest").where(~same)
-            .select(*units.columns, F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start")))
+            .select(*units.columns, F.col("first.id").alias("first_id"), F.col("first.seq").alias("first_seq")))
 
 
-def _cuts(repeats: DataFrame, min_run_words: int) -> DataFrame:
-    """``(__id, __hash, __gone, __short)``: the units to cut of each document, and how many repeats are left.
+_SPANS = "array<struct<start: bigint, end: bigint>>"
+_CUT = f"struct<text: string, removed: {_SPANS}, kept: {_SPANS}, short: bigint>"
 
-    Repeats with no other unit but empty ones between them are a run; a run
-    goes if its units have ``min_run_words`` words together.
+
+def cut_runs(text: str, again: list[int], unit: str, least: int) -> tuple[str, list[dict], list[dict], int]:
+    """``text`` without the runs of repeats, the spans removed and kept, and how many repeats stay.
+
+    ``again`` are the ascending numbers of the repeated units. Repeats with no
+    other unit but empty ones between them are a run; a run goes if its units
+    have ``least`` words together.
     """
-    slim = repeats.select("id", "text_hash", "seq", "words", "start", "size", "gap").dropDuplicates(["id", "text_hash", "seq"])
-    document = Window.partitionBy("id", "text_hash")
-    runs = slim.withColumn("run", F.col("seq") - F.row_number().over(document.orderBy("seq")))
-    long = F.sum("words").over(Window.partitionBy("id", "text_hash", "run")) >= min_run_words
-    place = F.struct(F.col("start").cast("long").alias("start"), (F.col("start") + F.col("size")).cast("long").alias("end"),
-                     (F.col("start") + F.col("size") + F.col("gap")).cast("long").alias("resume"))
-    return runs.withColumn("long", long).groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).agg(
-        F.sort_array(F.collect_list(F.when(F.col("long"), place))).alias("__gone"), F.count_if(~F.col("long")).alias("__short"))
+    units = [u for u in units_of(text, unit) if u[3]]
+    gone, run, words = [], [], 0
+    for at, seq in enumerate(again):
+        run.append(units[seq])
+        words += units[seq][3].count(" ") + 1
+        if at + 1 == len(again) or again[at + 1] != seq + 1:
+            gone += run if words >= least else []
+            run, words = [], 0
+    edges = [0, *(x for start, _, resume, _ in gone for x in (start, resume)), len(text)]
+    kept = [{"start": s, "end": e} for s, e in zip(edges[::2], edges[1::2]) if e > s]
+    left = "".join(text[k["start"]:k["end"]] for k in kept)
+    if gone and gone[-1][1] == len(text):
+        # A text that lost its last unit ends at the line's end before it.
+        left = re.sub(r"\n\s*\Z" if unit == "paragraph" else r"\n\Z", "", left)
+    return left, [{"start": u[0], "end": u[1]} for u in gone], kept, len(again) - len(gone)
 
 
 def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 1, min_run_words: int = 1,
@@ -100,43 +105,34 @@ def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 1,
     is its kept spans put together, a removed unit taking the separator after
     it along (the last unit: the one before, if that is a line's end). Null
     texts stay null with empty spans, empty tables stay empty, and columns of
-    the three names are replaced.
+    the three names are replaced. What moves for a unit is its digest and
+    number; places and runs are worked out again where the text is.
     """
-    gone = _cuts(mark_repeats(materialise(unit_table(documents, unit, min_words, id_col, text_col), "units")), min_run_words)
+    repeats = mark_repeats(materialise(unit_table(documents, unit, min_words, id_col, text_col), "units"))
+    gone = (repeats.groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+            .agg(F.sort_array(F.collect_set("seq")).alias("__again")))
     names = [c for c in documents.columns if c not in ("removed_spans", "kept_spans", "n_short_repeats")]
     own = [f"__{i}" for i in range(len(names))]
     id_own, text = F.col(own[names.index(id_col)]), F.col(own[names.index(text_col)])
-    joined = documents.select(*[F.col(c).alias(o) for c, o in zip(names, own)]).join(gone, id_own.eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,resume:bigint>>")
-    joined = joined.withColumn("__gone", F.coalesce("__gone", empty))
-    size = F.length(text).cast("long")
-    start = lambda k: F.when(k == 0, F.lit(0).cast("long")).otherwise(F.get("__gone", k - 1)["resume"])
-    stop = lambda k: F.coalesce(F.get("__gone", k)["start"], size)
-    spans = F.filter(F.transform(F.sequence(F.lit(0), F.size("__gone")), lambda k: F.struct(start(k).alias("start"), stop(k).alias("end"))),
-                     lambda s: s["end"] > s["start"])
-    removed = F.transform("__gone", lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end")))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    out = joined.withColumns({"kept_spans": F.when(text.isNull(), none).otherwise(spans), "removed_spans": removed,
-                              "n_short_repeats": F.coalesce("__short", F.lit(0).cast("long"))})
-    # A text that lost its last unit ends at the separator before it.
-    tail = (F.size("__gone") > 0) & (F.element_at("__gone", F.when(F.size("__gone") > 0, -1).otherwise(F.lit(None)))["end"] == size)
-    cut = _spliced(text)
-    return out.withColumn("__t", cut).select(
-        *[F.when(F.size("__gone") == 0, text).when(tail, F.regexp_replace("__t", "\n\\s*$" if unit == "paragraph" else "\n$", "")).otherwise(F.col("__t")).alias(c)
-          if c == text_col else F.col(o).alias(c) for c, o in zip(names, own)], "removed_spans", "kept_spans", "n_short_repeats")
-
-
-def _spliced(text):
-    """The kept spans of the text; cut in Python, where a slice costs its own length only."""
-    from pyspark.sql.functions import arrow_udf
-
-    def splice(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    joined = documents.select(*[F.col(c).alias(o) for c, o in zip(names, own)]).join(
+        gone, id_own.eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
+
+    @F.arrow_udf(_CUT)
+    def cut(texts: pa.Array, again: pa.Array) -> pa.Array:
         out = []
-        for text, kept in zip(texts, spans.to_pylist()):
-            whole = text.as_py()
-            out.append(None if whole is None else "".join(whole[s["start"]:s["end"]] for s in kept or []))
-        return pa.array(out, pa.string())
-    return arrow_udf(splice, "string")(text, F.col("kept_spans"))
+        for whole, numbers in zip(texts, again):
+            whole = whole.as_py()
+            if whole is None or not numbers.is_valid:
+                kept = [{"start": 0, "end": len(whole)}] if whole else []
+                out.append({"text": whole, "removed": [], "kept": kept, "short": 0})
+            else:
+                out.append(dict(zip(("text", "removed", "kept", "short"), cut_runs(whole, numbers.as_py(), unit, min_run_words))))
+        spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return pa.array(out, pa.struct([("text", pa.string()), ("removed", spans), ("kept", spans), ("short", pa.int64())]))
+    done = joined.withColumn("__cut", cut(text, F.col("__again")))
+    return done.select(*[F.col("__cut.text").alias(c) if c == text_col else F.col(o).alias(c) for c, o in zip(names, own)],
+                       F.col("__cut.removed").alias("removed_spans"), F.col("__cut.kept").alias("kept_spans"),
+                       F.col("__cut.short").alias("n_short_repeats"))
 
 
 def op5_unit_dedup(documents: DataFrame) -> DataFrame:

@@ -241,7 +241,7 @@ def test_repeated_runs_of_sentences_equal_brute_force(spark, odd, clashing, leas
     assert sorted(((r.doc_id, [tuple(s) for s in r.removed_spans], r.n_short_repeats, r.text) for r in got.collect()), key=repr) == brute_sentences(data, least)
     found = {r.doc_id: r for r in units.op5_unit_dedup(df).collect()}
     assert [found[d].n_removed for d in range(100, 105)] == [0, 8, 0, 16, 0] and found[102].n_short_repeats == 2
-    for name in ("__gone", "__t", "__id", "__hash", "__0"):
+    for name in ("__again", "__cut", "__id", "__hash", "__0"):
         assert units.remove_repeats(clashing.withColumn(name, F.lit("x")), "sentence").count() == len(ODD)
 
 
