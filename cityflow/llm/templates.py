@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from cityflow.llm.common import materialise
 from cityflow.llm.common_lines import LINE_SPACE, lines_of, without_lines
 
-#: Leading tokens on the path to a leaf (a shorter line is its own path), and tokens a line needs in OP2_SQL.
-#: The operator has no floor: every line that is not empty enters the tree.
-DEPTH, MIN_TOKENS = 3, 4
+#: Leading tokens on the path to a leaf (a shorter line is its own path). Every line that is not empty enters the tree.
+DEPTH = 3
 #: A line belongs to its leaf's template if this share (in tenths) of its tokens agrees.
 SIMILAR_TENTHS = 7
 #: A template recurs if so many documents have it.
@@ -145,31 +144,3 @@ def drop_recurring(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def op2_line_dedup(documents: DataFrame) -> DataFrame:
     return drop_recurring(documents).select("doc_id", "n_lines", "n_dropped", "text")
-
-
-OP2_SQL = f"""
-WITH raw AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
-                    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
-     m AS (SELECT doc_id, text, pos, line,
-                  regexp_replace(trim(regexp_replace(line, '[ \\t\\r\\f\\x0b]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM raw),
-     t AS (SELECT doc_id, text, pos, masked, string_split(masked, ' ') AS toks FROM m WHERE masked <> ''),
-     r AS (SELECT doc_id, text, pos, masked, len(toks) AS n, len(toks)::VARCHAR || ' ' || array_to_string(toks[1:{DEPTH}], ' ') AS leaf
-           FROM t WHERE len(toks) >= {MIN_TOKENS}),
-     d AS (SELECT DISTINCT leaf, masked, n FROM r),
-     k AS (SELECT leaf, masked, n, unnest(string_split(masked, ' ')) AS tok, generate_subscripts(string_split(masked, ' '), 1) AS place FROM d),
-     c AS (SELECT leaf, place, tok, count(*) AS c FROM k GROUP BY ALL),
-     modal AS (SELECT leaf, place, tok AS modal FROM (SELECT *, row_number() OVER (PARTITION BY leaf, place ORDER BY c DESC, tok) AS rn FROM c) WHERE rn = 1),
-     agree AS (SELECT leaf, masked, n, count(*) FILTER (tok = modal) AS same FROM k JOIN modal USING (leaf, place) GROUP BY ALL),
-     many AS (SELECT leaf FROM d GROUP BY leaf HAVING count(*) > 1),
-     named AS (SELECT a.leaf, a.masked, CASE WHEN same * 10 >= n * {SIMILAR_TENTHS} AND leaf IN (SELECT leaf FROM many)
-                      THEN 'leaf ' || leaf ELSE 'line ' || masked END AS name FROM agree a),
-     lines AS (SELECT r.doc_id, r.text, r.pos, name FROM r JOIN named USING (leaf, masked)),
-     spread AS (SELECT name, min(doc_id) AS first FROM lines GROUP BY name HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
-     gone AS (SELECT DISTINCT doc_id, text, pos FROM lines JOIN spread USING (name) WHERE doc_id <> first),
-     kept AS (SELECT m.doc_id, m.text, string_agg(m.line, chr(10) ORDER BY m.pos) FILTER (g.pos IS NULL) AS cleaned,
-                     count(*)::INTEGER AS n_lines, count(g.pos)::INTEGER AS n_dropped
-              FROM m LEFT JOIN gone g ON m.doc_id = g.doc_id AND m.text = g.text AND m.pos = g.pos GROUP BY m.doc_id, m.text)
-SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
-       CASE WHEN d.text IS NOT NULL THEN coalesce(cleaned, '') END AS text
-FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id AND d.text = kept.text
-"""

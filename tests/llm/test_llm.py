@@ -122,6 +122,63 @@ def test_templates_of_one_leaf(spark):
     assert drop(mixed) == {i: int(i % 3 > 0) for i in range(12)}
 
 
+def brute_templates(data, least=3):
+    """(id, lines dropped, text) of every row: leaves by token count and leading tokens, modal templates in rounds, splits."""
+    def masked(line):
+        line = re.sub("[ \t\r\f\x0b]+", " ", line).strip(" ")
+        return " ".join("<*>" if re.search("[0-9]", t) else t for t in line.split(" "))
+    leaves, places = defaultdict(lambda: defaultdict(Counter)), {}
+    for doc, text in dict.fromkeys(data):
+        for pos, line in enumerate(text.split("\n") if text is not None else []):
+            if m := masked(line):
+                tokens = tuple(m.split(" "))
+                leaf = (len(tokens), tokens[:3])
+                leaves[leaf][tokens][doc] += data.count((doc, text))
+                places.setdefault((doc, text), []).append((pos, leaf, tokens))
+    names = {}
+    for leaf, lines in leaves.items():
+        if len(lines) < 2 or sum(map(len, lines.values())) < least:
+            continue
+        groups, number = [set(lines)], 0
+        while groups:
+            group = groups.pop()
+            # Sightings count rows, as often as a line stands in them.
+            if len(group) < 2 or sum(sum(lines[x].values()) for x in group) < least:
+                continue
+            counts = [Counter(x[k] for x in group) for k in range(leaf[0])]
+            modal = [min(c.items(), key=lambda e: (-e[1], e[0]))[0] for c in counts]
+            joins = {x for x in group if sum(a == b for a, b in zip(x, modal)) * 10 >= leaf[0] * templates.SIMILAR_TENTHS}
+            for x in joins:
+                names[leaf, x] = ("template", number)
+            number += 1
+            if joins:
+                groups.append(group - joins)
+            else:
+                odd = [(max(c.values()), -k) for k, c in enumerate(counts) if 1 < max(c.values()) < len(group)]
+                if odd:
+                    at = -max(odd)[1]
+                    groups += [{x for x in group if x[at] == token} for token in counts[at]]
+    spread = defaultdict(set)
+    for (doc, _), found in places.items():
+        for _, leaf, line in found:
+            spread[leaf, names.get((leaf, line), line)].add(doc)
+    out = []
+    for doc, text in data:
+        gone = {pos for pos, leaf, line in places.get((doc, text), []) for docs in [spread[leaf, names.get((leaf, line), line)]]
+                if len(docs) >= least and doc != min(docs)}
+        lines = text.split("\n") if text is not None else []
+        out.append((doc, len(lines), len(gone), None if text is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)))
+    return sorted(out, key=repr)
+
+
+def test_templates_equal_brute_force(spark):
+    data = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
+    data += [(1000 + i, "\n".join(f"login at the {a} by {b}{i % 3} was {c}" for a in ("desk", "host") for b in ("x", "anna") for c in ("fine", "denied", f"row {i}")))
+             for i in range(9)] + [(1000, "login at the desk by x0 was fine\n\n a  b\t7 "), (2000, None), (2001, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert rows(templates.op2_line_dedup(df)) == brute_templates(data)
+
+
 # ------------------------------------------------------------------ mixing
 def test_mixing_inverts_the_poisson_distribution(spark, odd, empty, clashing):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3600, "big").otherwise("small").alias("source"))
