@@ -7,7 +7,7 @@ from .fill import fill_ordered, with_file_order_key, with_order_key
 from .nested import parse_json, rows_as_json, zip_to_rows
 from .quality import alert_rows, between, latest, not_null, report_text, run_suite, summarise
 from .series import daily_change, densify
-from .widen import full_fold, ratio, row_greatest, row_mean, row_total, suffix_columns, widen
+from .widen import fold_union, full_fold, ratio, row_greatest, row_mean, row_total, suffix_columns, widen
 from .zones import assign_zones, zone_table
 
 __all__ = [n for n in dir() if not n.startswith("_")]

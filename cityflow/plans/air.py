@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import coerced_double, hour_text, matching, repaired_sign, utc_timestamp
+from ..functions.scalar import coerced_double, hour_label, hour_text, matching, repaired_sign, utc_timestamp
 from ..operators.aggregate import daily_stats
 from ..operators.clean import require
 from ..operators.series import densify
@@ -55,13 +55,14 @@ def air_daily(readings, start, end, series: str = "borough", keys: DataFrame | N
                         mean="avg_value_pm2_5", peak="peak_value_pm2_5", peak_slot_name="peak_value_hour",
                         mean_digits=1, half_even=True)
     return densify(stats, "date", [series], start, end, fill=("forward", "backward"),
-                   defaults={"peak_value_hour": NO_HOUR}, keys=keys)
+                   defaults={"peak_value_hour": NO_HOUR}, keys=keys, unique=True)
 
 
 def air_fact(dense: DataFrame, series: str = "borough", values=None, city: str = "NYC") -> DataFrame:
     """Wide daily fact: per-series columns, city mean (null if any series is
     null, fixed divisor) and city peak (nulls skipped), ordered by date."""
-    wide = widen(dense, "date", series, AIR_METRICS, values=values)
+    hours = dense.withColumn("peak_value_hour", F.left("peak_value_hour", F.lit(2)).cast("int"))
+    wide = widen(hours, "date", series, AIR_METRICS, values=values, late={"peak_value_hour": hour_label})
     cols = wide.columns
     wide = row_mean(wide, matching(cols, "avg_value_pm2_5"), f"{city}_avg_value_pm2_5", 1)
     wide = row_greatest(wide, matching(cols, "peak_value_pm2_5"), f"{city}_peak_value_pm2_5")

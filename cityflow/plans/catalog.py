@@ -23,7 +23,7 @@ from ..operators.fill import fill_ordered, with_file_order_key
 from ..operators.nested import parse_json, rows_as_json
 from ..operators.quality import alert_rows, between, not_null, report_text, run_suite, summarise
 from ..operators.series import daily_change
-from ..operators.widen import full_fold, row_total, suffix_columns, widen
+from ..operators.widen import fold_union, row_total, suffix_columns, widen
 from ..operators.zones import assign_zones
 from ..session import pin
 from . import standins as S
@@ -199,7 +199,7 @@ def wide_full_join(spark, sf):
     long = pin(daily_trip_stats(trips_silver(spark, sf), "borough"))
     parts = [suffix_columns(long.filter(F.col("borough") == v).drop("borough"), normalise_name(v), "Date")
              for v in EVENT_TYPES]
-    return full_fold(parts, "Date")
+    return fold_union(parts, "Date")
 
 
 @query("fleet_union", """
@@ -467,6 +467,27 @@ def fx_empty_window(spark, sf):
     return fx_daily(e, dt.date(2031, 1, 1), dt.date(2031, 3, 31))
 
 
+# The driver's events end in January 2024: the window holds days with many raw rows, days without any, and a null rate.
+RAW_START, RAW_END = dt.date(2024, 1, 20), dt.date(2024, 2, 20)
+
+
+@query("fx_raw_window", f"""
+WITH rates AS (SELECT CAST(ts AS DATE) AS "Date", CASE WHEN event_type <> 'signup' THEN (value + value / 2.0) / 2.0 END AS r FROM events
+               WHERE CAST(ts AS DATE) BETWEEN {d(RAW_START)} AND {d(RAW_END)}),
+grid AS (SELECT CAST(g.day AS DATE) AS "Date"
+         FROM generate_series(TIMESTAMP '{RAW_START} 00:00:00', TIMESTAMP '{RAW_END} 00:00:00', INTERVAL 1 DAY) g(day)),
+days AS (SELECT g."Date", max(r) AS r, count(x."Date") AS n FROM grid g LEFT JOIN rates x ON g."Date" = x."Date" GROUP BY 1),
+f AS (SELECT "Date", n, coalesce(last_value(r IGNORE NULLS) OVER (ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(r IGNORE NULLS) OVER (ORDER BY "Date" ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS r FROM days)
+SELECT rates."Date", coalesce(rates.r, f.r) AS Exchange_Rate FROM rates JOIN f USING ("Date")
+UNION ALL SELECT "Date", r FROM f WHERE n = 0""")
+def fx_raw_window(spark, sf):
+    """Raw rows, many a day, in a window that they cover in part."""
+    e = _t(spark, sf, "events").select(F.col("ts").alias("Date"), F.when(F.col("event_type") != "signup", F.col("value")).alias("High"),
+                                       (F.col("value") / 2.0).alias("Low"))
+    return fx_daily(e, RAW_START, RAW_END)
+
+
 _QUOTES_SQL = """quotes AS (
   SELECT CAST(ts AS DATE) AS "Date",
          CASE event_type WHEN 'view' THEN 'Vol_VIX' WHEN 'purchase' THEN 'SPY' WHEN 'click' THEN 'XLI'

@@ -83,7 +83,8 @@ def daily_trip_stats(silver: DataFrame, series: str = "borough") -> DataFrame:
 def wide_trip_fact(long: DataFrame, series: str = "borough", values=None, city: str = "New_York") -> DataFrame:
     """Daily wide fact with columns of the listed series and city totals over all series, ordered by Date."""
     zero = F.lit(0.0)
-    wide = widen(long, "Date", series, TRIP_METRICS, values, totals={
+    hours = long.withColumn("peak_trip_hour", F.left("peak_trip_hour", F.lit(2)).cast("int"))
+    wide = widen(hours, "Date", series, TRIP_METRICS, values, late={"peak_trip_hour": hour_label}, totals={
         f"total_trips_{city}": F.sum("total_trips"),
         f"total_amount_earned_{city}": F.coalesce(exact_round_sum("total_amount_earned", 2), zero),
         f"total_tips_earned_{city}": F.coalesce(exact_round_sum("total_tips_earned", 2), zero)})

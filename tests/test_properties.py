@@ -1,14 +1,16 @@
 """Properties: distributed forms equal their single-task / literal forms."""
 
 import datetime as dt
+import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cityflow.operators.fill import fill_ordered
 from cityflow.operators.series import densify
-from cityflow.operators.widen import full_fold, suffix_columns, widen
+from cityflow.operators.widen import fold_union, full_fold, suffix_columns, widen
 from cityflow.plans import catalog as C
 from cityflow.plans.trips import TRIP_METRICS, daily_trip_stats
 
@@ -179,7 +181,6 @@ def test_sums_keep_small_values_and_survive_nan(spark):
 
 def test_unlisted_series_stay_in_city_totals(spark):
     from cityflow.plans.trips import trip_fact
-    import pytest
     row = (dt.date(2024, 1, 1), "09", 1.0, 2.0, 1, 1, 10.0, 1.0)
     cols = "Date date, Time string, passenger_count double, trip_distance double, DOLocationID int, PULocationID int, total_amount double, tip_amount double, borough string"
     silver = spark.createDataFrame([(*row, "St. George"), (*row, "Newark"), (*row[:1], "9", *row[2:], "St. George"), (*row[:1], "10", *row[2:], "St. George"),
@@ -221,7 +222,6 @@ def test_zones_with_two_labels_and_absent_ticker(spark):
 def test_mixed_type_families_fan_out_and_reports(spark, scratch):
     import glob
     import json
-    import pytest
     from cityflow.operators.quality import between, fail_on, run_suite
     from cityflow.plans.trips import raw_trips
     from cityflow.sources.readers import scan_many
@@ -240,3 +240,65 @@ def test_mixed_type_families_fan_out_and_reports(spark, scratch):
     assert len(json.loads(open(glob.glob(f"{scratch}/alerts/part*")[0]).read())) == 2
     with pytest.raises(ValueError):
         fail_on(run_suite(df, [between("id", 0, 5)]))
+
+
+def brute_densify(rows, start, days, fill):
+    """Rows and missing days of each series in plain Python: a day hands on its greatest value."""
+    out = []
+    for key in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == key and 0 <= (r[1] - start).days < days]
+        best = [max((r[2] for r in own if (r[1] - start).days == i and r[2] is not None), default=None) for i in range(days)]
+        full = list(best)
+        for step in fill:
+            order = range(days) if step == "forward" else range(days - 1, -1, -1)
+            seen = None
+            for i in order:
+                seen = full[i] if full[i] is not None else seen
+                full[i] = seen
+        for i in range(days):
+            here = [r[2] for r in own if (r[1] - start).days == i]
+            out += [(key, start + dt.timedelta(i), v if v is not None else full[i]) for v in here or [full[i]]]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block", [3, 8, 1 << 12])
+@pytest.mark.parametrize("fill", [("forward", "backward"), ("backward",), ("backward", "forward")])
+def test_densify_in_blocks_of_days_equals_plain_python(spark, block, fill):
+    rng = random.Random(block)
+    start = dt.date(2024, 2, 25)
+    rows = [(k, start + dt.timedelta(rng.randrange(-3, 33)), rng.choice([None, float(rng.randrange(9))])) for k in ("a", "b", None) for _ in range(14)]
+    rows += [("late", start + dt.timedelta(100), 5.0), ("null", start + dt.timedelta(4), None)]
+    df = spark.createDataFrame(rows, "k string, day date, v double").repartition(3)
+    got = densify(df, "day", ["k"], start, start + dt.timedelta(29), fill=fill, block=block)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_densify(rows, start, 30, fill)
+    one = {(r[0], r[1]): r for r in rows}.values()
+    single = spark.createDataFrame(list(one), "k string, day date, v double")
+    got = densify(single, "day", ["k"], start, start + dt.timedelta(29), fill=fill, block=block, unique=True)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_densify(list(one), start, 30, fill)
+
+
+def test_densify_without_series_holds_no_rows_in_one_task(spark):
+    """Raw rows, many a day: the window and the arrays hold days, and the rows meet them in a join."""
+    start = dt.date(2024, 1, 1)
+    df = spark.range(20_000).select(F.date_add(F.lit(start), (F.col("id") % 20).cast("int")).alias("day"), (F.col("id") % 97).cast("double").alias("v"))
+    got = densify(df, "day", [], start, dt.date(2024, 1, 30))
+    assert got.count() == 20_010 and got.where("day = '2024-01-30'").first().v == 96.0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan and plan.index("max(") > plan.index("collect_list")
+    with pytest.raises(Exception, match="several rows a day"):
+        densify(df, "day", [], start, dt.date(2024, 1, 30), unique=True).collect()
+
+
+def test_fold_union_is_the_fold_in_one_shuffle(spark):
+    a = spark.createDataFrame([(1, "x", 1.0), (2, None, 2.0), (None, "n", 3.0)], "k int, a string, v double")
+    b = spark.createDataFrame([(2, 7), (3, None), (None, 9), (None, 9)], "k int, b int")
+    c = spark.createDataFrame([(1, [1, 2]), (4, None)], "k int, c array<int>")
+    as_rows = lambda df: sorted((str(tuple(r)) for r in df.select("k", "a", "v", "b", "c").collect()))
+    assert as_rows(fold_union([a, b, c], "k")) == as_rows(full_fold([a, b, c], "k"))
+    assert fold_union([a, b, c], "k").columns == ["k", "a", "v", "b", "c"]
+    plan = fold_union([a, b, c], ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    with pytest.raises(Exception, match="repeated"):
+        fold_union([a.union(a), b], "k").collect()
+    with pytest.raises(ValueError, match="same name"):
+        fold_union([a, a], "k")
