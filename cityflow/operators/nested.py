@@ -15,7 +15,11 @@ def zip_to_rows(df: DataFrame, struct_col: str, fields, keep=()) -> DataFrame:
 
 
 def parse_json(df: DataFrame, col: str, schema, out: str | None = None) -> DataFrame:
-    """JSON text -> nested value with a declared schema (bad text -> a struct of nulls)."""
+    """JSON text -> nested value with a declared schema.
+
+    Bad text gives a struct of nulls, as missing fields do;
+    ``sources.parse_records`` tells the two apart with a reason.
+    """
     return df.withColumn(out or col, F.from_json(F.col(col), schema))
 
 

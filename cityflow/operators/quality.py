@@ -8,8 +8,9 @@ one-row result with an explode.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import fixed_text
@@ -50,10 +51,9 @@ def between(col: str, lo=None, hi=None) -> Rule:
 
 
 def run_suite(df: DataFrame, rules) -> DataFrame:
-    """One row per rule: rule, column, element_count, unexpected_count, success."""
+    """One row per rule: rule, column, element_count, unexpected_count, success (an empty table fails none)."""
     rules = list(rules)
-    counts = df.agg(F.count(F.lit(1)).alias("_n"),
-                    *[F.count_if(r.failing()).alias(f"_f{i}") for i, r in enumerate(rules)])
+    counts = df.agg(*_observed(rules))
     per_rule = F.array(*[
         F.struct(F.lit(i).alias("rule_index"), F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
                  F.col("_n").alias("element_count"), F.col(f"_f{i}").alias("unexpected_count"))
@@ -62,6 +62,39 @@ def run_suite(df: DataFrame, rules) -> DataFrame:
             .withColumn("success", F.col("unexpected_count") == 0))
 
 
+def _observed(rules) -> list[Column]:
+    return [F.count(F.lit(1)).alias("_n"), *[F.count_if(r.failing()).alias(f"_f{i}") for i, r in enumerate(rules)]]
+
+
+def checked_write(df: DataFrame, rules, write) -> DataFrame:
+    """``write(df)`` with the rules counted in the same pass; returns the rows of :func:`run_suite`.
+
+    The counts are metrics that Spark takes while the rows go to the sink, so
+    the input is computed once. They are those of the rows that were written:
+    ``write`` must run one query over all rows it is given.
+    """
+    rules, seen = list(rules), Observation()
+    write(df.observe(seen, *_observed(rules)))
+    counts = seen.get
+    rows = [(i, r.name, r.column, counts["_n"], counts[f"_f{i}"], counts[f"_f{i}"] == 0) for i, r in enumerate(rules)]
+    return df.sparkSession.createDataFrame(rows, "rule_index int, rule string, column string, element_count long, unexpected_count long, success boolean")
+
+
+def rule_mask(df: DataFrame, rules, out: str = "failed_rules") -> DataFrame:
+    """``df`` with a bit mask of the rules each row fails (bit i: rule i; 0: none), for at most 63 rules."""
+    rules = list(rules)
+    if len(rules) > 63:
+        raise ValueError("a mask holds 63 rules")
+    bits = [F.when(r.failing(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(rules)]
+    return df.withColumn(out, reduce(lambda a, b: a.bitwiseOR(b), bits) if bits else F.lit(0).cast("long"))
+
+
+def failed_names(rules, mask: str = "failed_rules") -> Column:
+    """The failed rules of a mask as an array of ``rule(column)``."""
+    names = F.array(*[F.when(F.col(mask).bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(f"{r.name}({r.column})")) for i, r in enumerate(rules)])
+    return F.array_compact(names)
+
+
 def fail_on(results: DataFrame) -> None:
     """Raises with the names of failed rules (a result has one row per rule); writes go on without it."""
     failed = [r["rule"] for r in results.where(~F.col("success")).select("rule").collect()]

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.nested import zip_to_rows
-from ..operators.quality import alert_rows, between, not_null, report_text, run_suite, summarise
+from ..operators.quality import alert_rows, between, checked_write, not_null, report_text, run_suite, summarise
+from ..sources.writers import overwrite
 
 WEATHER_FIELDS = ["time", "temperature_2m_max", "temperature_2m_min", "precipitation_sum"]
 MEASURES = WEATHER_FIELDS[1:]
@@ -40,3 +41,11 @@ def weather_report(silver: DataFrame, title: str, rules=None) -> DataFrame:
 def weather_alerts(silver: DataFrame, by=(), k: int = ALERT_ROWS) -> DataFrame:
     """Newest ``k`` days (per station when ``by``), measures as 2-decimal text."""
     return alert_rows(silver, "time", MEASURES, k=k, digits=2, by=by)
+
+
+def weather_gold(silver: DataFrame, target: str, rules=None, location: str | None = None) -> DataFrame:
+    """Write the gold table and return its quality results, from one pass over ``silver``.
+
+    Failing rules do not stop the write (the check reports, it does not gate); alerts come from the written table.
+    """
+    return checked_write(silver, rules or WEATHER_RULES, lambda df: overwrite(df, target, location=location))

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .merging import merged
+
 
 def scan_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet") -> DataFrame:
     """A folder (``fmt`` reader) or a catalog table name (no '/' in it)."""
@@ -23,16 +25,17 @@ def scan_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet") ->
 def scan_merged(spark: SparkSession, paths, schema_map: dict | None = None, fmt: str = "parquet", tag=None) -> DataFrame:
     """All files under ``paths`` with the union of their columns.
 
-    Without ``schema_map`` the files are read with schema merging (missing
-    columns -> null). Where families disagree on a type, pass
-    ``schema_map={path: {col: type}}``: each family is read and cast on its
+    Without ``schema_map`` missing columns are null, and columns whose types
+    differ between files get the narrowest type that holds all of them (see
+    ``merging``; whole numbers and floats meet as double). With
+    ``schema_map={path: {col: type}}`` each family is read and cast on its
     own, then unioned by name. ``tag`` is applied to every scan before the
     union (e.g. to keep scan metadata).
     """
     tag = tag or (lambda df: df)
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not schema_map:
-        return tag(spark.read.option("mergeSchema", "true").format(fmt).load(paths))
+        return merged(spark, paths, fmt, tag)
     parts = []
     for p in paths:
         df = tag(spark.read.format(fmt).load(p))
@@ -60,5 +63,9 @@ def scan_many(spark: SparkSession, root: str, fmt: str = "parquet", origin_col:
 
 
 def scan_documents(spark: SparkSession, path: str, schema, multiline: bool = True) -> DataFrame:
-    """JSON documents with a declared schema, one row per document."""
+    """JSON documents with a declared schema, one row per document.
+
+    A value that does not fit its type is null here; ``rescue.scan_records``
+    keeps such documents apart with a reason.
+    """
     return spark.read.schema(schema).option("multiLine", str(multiline).lower()).json(path)

@@ -194,11 +194,11 @@ def fan_out(df: DataFrame, by: str, path: str, fmt: str = "parquet") -> None:
 
 
 def replace_window(df: DataFrame, path: str, day: str, cluster_by=(), fmt: str = "parquet") -> None:
-    """Replace the days that ``df`` has in a table of one folder a day; other days are not touched.
+    """Replace the days (or months) that ``df`` has in a table of one folder each; others are not touched.
 
-    Rerunning a window gives the same table. A day's rows are sorted by
+    Rerunning a window gives the same table. A folder's rows are sorted by
     ``cluster_by`` within their files, so that a filter on these columns
-    skips row groups, and a filter on the day skips folders. AQE splits a
+    skips row groups, and a filter on ``day`` skips folders. AQE splits a
     large day over several files.
     """
     rows = df.hint("rebalance", day).sortWithinPartitions(day, *cluster_by)
