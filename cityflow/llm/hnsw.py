@@ -8,6 +8,8 @@ import numpy as np
 
 #: Links per node (twice on the lowest layer), beam while building, nodes inserted and queries answered together.
 LINKS, BUILD_BEAM, BATCH = 16, 64, 256
+#: A query with more true pairs than this belongs to a large group.
+FEW = 32
 
 
 class Graph:
@@ -168,72 +170,46 @@ class Graph:
         return out
 
 
-def _audit(x: np.ndarray, q: np.ndarray, threshold: float, enough: int, many: int, own: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(queries, their true pairs): drawn until ``enough`` of them have from one to ``many`` pairs, or all queries.
+def range_pairs(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, beam: int) -> np.ndarray:
+    """Boolean matrix (queries x rows): the pairs the graph finds whose dot product is at least ``threshold`` in double precision.
 
-    With ``own`` the queries are the rows themselves; a row paired with itself says nothing of the search.
+    A query whose whole beam lies above the threshold is asked again with a
+    beam twice as wide; one that fills a beam as wide as the graph is near to
+    everything, and compared with it.
     """
-    order = np.random.default_rng(len(q)).permutation(len(q))
-    parts, measured, at = [], 0, 0
-    while at < len(q) and measured < enough:
-        part = order[at:at + BATCH]
-        true = q[part] @ x.T >= threshold
-        if own:
-            true[np.arange(len(part)), part] = False
-        pairs = true.sum(axis=1)
-        measured += int(((pairs > 0) & (pairs <= many)).sum())
-        parts.append(true)
-        at += len(part)
-    return order[:at], np.vstack(parts) if parts else np.zeros((0, len(x)), bool)
-
-
-def _recalled(found: np.ndarray, truth: np.ndarray, many: int, recall: float) -> bool:
-    """Whether queries with up to ``many`` true pairs, and those with more, each found ``recall`` of their pairs on average."""
-    pairs = truth.sum(axis=1)
-    share = (found & truth).sum(axis=1) / np.maximum(pairs, 1)
-    return all(not kind.any() or share[kind].mean() >= recall for kind in ((pairs > 0) & (pairs <= many), pairs > many))
-
-
-def range_pairs(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, recall: float = 0.99, beam: int = 32,
-                audit_rows: int = 64, own: bool = False) -> np.ndarray:
-    """Boolean matrix (queries x rows): pairs with a dot product of at least ``threshold`` in double precision.
-
-    Audit queries are compared with every row until ``audit_rows`` of them
-    have a pair that counts, but no more than ``beam``: a hot group cannot
-    stand for small ones. If that takes all queries, the comparison is the
-    result. Otherwise the graph is searched; a query whose whole beam lies
-    above the threshold is asked again with a beam twice as wide. Recall is
-    judged per query, apart for those with more than ``beam`` pairs; while
-    either kind found less than ``recall``, all queries are asked again with
-    a wider beam, and once the beam would reach the whole graph the rows are
-    compared directly. ``own``: the queries are the rows of the graph, and
-    pairs of a row with itself do not count in the audit.
+    out = np.zeros((len(q), len(x)), bool)
+    for at in range(0, len(q), BATCH):
+        todo, wide = np.arange(at, min(at + BATCH, len(q))), beam
+        while len(todo):
+            ids, sims = graph.search(q[todo], wide)
+            # Single precision is off by about 1e-6; the verdict is taken in double precision.
+            r, c = np.nonzero((ids >= 0) & (sims >= threshold - 1e-4))
+            hit = ids[r, c]
+            good = np.einsum("ij,ij->i", q[todo[r]], x[hit]) >= threshold
+            out[todo[r[good]], hit[good]] = True
+            todo, wide = todo[(ids[:, -1] >= 0) & (sims[:, -1] >= threshold - 1e-4)], wide * 2
+            if wide >= 2 * len(x) and len(todo):
+                out[todo] = q[todo] @ x.T >= threshold
+                break
+    return out
+
+
+def audit(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, beams, own: np.ndarray | None = None) -> np.ndarray:
+    """Recall of a search, measured: (beams x 2 kinds x 2) numbers of queries with true pairs, and sums of the shares found.
+
+    Kinds: queries with up to ``FEW`` true pairs, and with more; so a hot group
+    cannot stand for small ones. ``own``: the queries' own rows of the graph,
+    which say nothing of the search. A beam that finds all is not widened.
     """
-    n, many = len(x), beam
-    audit, truth = _audit(x, q, threshold, audit_rows, many, own)
-    if len(audit) == len(q):
-        out = np.zeros((len(q), n), bool)
-        out[audit] = truth
-        if own:
-            np.fill_diagonal(out, True)
-        return out
-    while beam < n:
-        out = np.zeros((len(q), n), bool)
-        for at in range(0, len(q), BATCH):
-            todo, wide = np.arange(at, min(at + BATCH, len(q))), beam
-            while len(todo):
-                if wide >= n:
-                    out[todo] = q[todo] @ x.T >= threshold
-                    break
-                ids, sims = graph.search(q[todo], wide)
-                # Single precision is off by about 1e-6; the verdict is taken in double precision.
-                r, c = np.nonzero((ids >= 0) & (sims >= threshold - 1e-4))
-                hit = ids[r, c]
-                good = np.einsum("ij,ij->i", q[todo[r]], x[hit]) >= threshold
-                out[todo[r[good]], hit[good]] = True
-                todo, wide = todo[(ids[:, -1] >= 0) & (sims[:, -1] >= threshold - 1e-4)], wide * 2
-        if _recalled(out[audit], truth, many, recall):
-            out[audit] |= truth
-            return out
-        beam *= 2
-    return np.vstack([q[at:at + BATCH] @ x.T >= threshold for at in range(0, len(q), BATCH)]) if len(q) else np.zeros((0, n), bool)
+    truth = q @ x.T >= threshold
+    if own is not None:
+        truth[np.arange(len(q)), own] = False
+    pairs = truth.sum(axis=1)
+    kinds = (pairs > 0) & (pairs <= FEW), pairs > FEW
+    out, share = np.zeros((len(beams), 2, 2)), np.zeros(len(q))
+    for b, beam in enumerate(beams):
+        if (share < 1)[pairs > 0].any():
+            share = (range_pairs(graph, x, q, threshold, beam) & truth).sum(axis=1) / np.maximum(pairs, 1)
+        for k, kind in enumerate(kinds):
+            out[b, k] = kind.sum(), share[kind].sum()
+    return out

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cityflow.llm import embeddings, exact_mphf, forest, gam, langid, mixing, packing, queries, templates, units, warc
 from cityflow.llm.components import connected_components
-from cityflow.llm.hnsw import Graph, range_pairs
+from cityflow.llm.hnsw import Graph, audit, range_pairs
 from cityflow.llm.shingles import shingle_sets
 from tests.conftest import SF001
 
@@ -358,7 +358,7 @@ def test_graph_search_reaches_recall(spark):
     x = centres[rng.integers(0, 40, 1500)] + rng.normal(size=(1500, 32)) * 0.12
     x /= np.linalg.norm(x, axis=1)[:, None]
     truth = x @ x.T >= 0.98
-    found = range_pairs(Graph.unpack(x, Graph(x).pack()), x, x, 0.98)
+    found = range_pairs(Graph.unpack(x, Graph(x).pack()), x, x, 0.98, 64)
     assert not (found & ~truth).any() and (found & truth).sum() >= 0.99 * truth.sum()
 
 
@@ -378,22 +378,57 @@ def test_recall_is_measured_on_sparse_links_and_beside_a_hot_group():
     rng = np.random.default_rng(4)
     near = lambda rows: rows + rng.normal(size=rows.shape) * 0.005
     unit = lambda rows: rows / np.linalg.norm(rows, axis=1)[:, None]
-    x, q = rng.normal(size=(1500, 32)), rng.normal(size=(1500, 32))
-    q[1:22] = near(x[1:22])  # two blocks with 21 links
-    x, q = unit(x), unit(q)
-    graph = BlindGraph.unpack(x, Graph(x).pack())
-    truth = q @ x.T >= 0.98
-    assert truth.sum() == 21 and (range_pairs(graph, x, q, 0.98) == truth).all()
     x = rng.normal(size=(1500, 32))
     x[:600] = near(np.repeat(x[:1], 600, axis=0))
     x[900:940] = near(x[600:640])  # a hot group beside 40 groups of two
     x = unit(x)
     graph = BlindGraph.unpack(x, Graph(x).pack())
     graph.hot = 600
-    truth = x @ x.T >= 0.98
-    for own in (True, False):
-        found = range_pairs(graph, x, x, 0.98, own=own)
-        assert (found | np.eye(1500, dtype=bool))[600:][truth[600:]].mean() >= 0.99
+    blind = audit(graph, x, x, 0.98, (64, 256), np.arange(1500))
+    # 80 queries of small groups find nothing at the narrow beam, 600 of the hot group all of theirs.
+    assert blind.tolist() == [[[80, 0], [600, 600]], [[80, 80], [600, 600]]]
+    real = audit(Graph(x), x, x, 0.98, (64,), np.arange(1500))
+    assert real[0, 0, 1] >= 0.99 * 80 and real[0, 1, 1] >= 0.99 * 600
+
+
+def test_beam_widens_until_each_label_and_the_pool_reach_recall(spark):
+    audits = [("a", 4, b, 0, 100, f) for b, f in zip(embeddings.BEAMS, (80.0, 95.0, 99.5, 100.0, 100.0, 100.0))]
+    audits += [("b", 4, b, 0, 2, 2.0) for b in embeddings.BEAMS] + [("c", 4, b, 0, 0, 0.0) for b in embeddings.BEAMS]
+    audits += [("d", 4, b, 1, 10, f) for b, f in zip(embeddings.BEAMS, (9.0, 9.0, 9.0, 9.0, 9.0, 9.5))]
+    frame = lambda rows: spark.createDataFrame(rows, "label string, dims int, beam int, kind int, queries long, found double")
+    beams = {r.label: r.beam for r in embeddings.chosen_beams(frame([a if a[0] != "d" else (*a[:5], 10.0) for a in audits]), 0.99).collect()}
+    assert beams == {"a": 256, "b": 256, "c": 256, "d": 256}
+    assert {r.label: r.beam for r in embeddings.chosen_beams(frame(audits), 0.99).collect()}["b"] == embeddings.BEAMS[-1]
+
+
+def test_links_come_from_searches_of_the_graphs(spark, monkeypatch):
+    """On sparse tables too, every meeting of a graph with queries searches the graph, and hardly a row is compared otherwise."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    near = table.where("vec_id % 9 = 0").select("vec_id", "label", F.transform("embedding", lambda v, i: v + (i % 3 - 1) * 0.003).alias("embedding"))
+    rows_ = embeddings.unit_rows(table.select("vec_id", "label", "embedding").union(near), "vec_id", "embedding", "label").where("digest is not null")
+    classes = rows_.groupBy("label", "dims", "digest").agg(F.count("*").alias("weight"), F.first("unit").alias("unit"))
+    monkeypatch.setattr(embeddings, "SHARD_ROWS", 80)
+    shards = embeddings.build_shards(classes).cache()
+    audits = embeddings.audited_beams(shards, 0.98)
+    measured = audits.where("beam = 64").agg(F.sum("queries"), F.sum("found")).first()
+    assert measured[0] > 100 and measured[1] >= 0.99 * measured[0]
+    frames = shards.toPandas()
+    searched = []
+    search = Graph.search
+    monkeypatch.setattr(Graph, "search", lambda self, q, beam: searched.append(len(q)) or search(self, q, beam))
+    met = 0
+    for label, part in frames.groupby("label"):
+        part = part.assign(beam=64)
+        for row in part.itertuples():
+            x = embeddings._matrix([row.units], row.dims)
+            for q in part.rename(columns={"shard": "q_shard", "digests": "q_digests", "weights": "q_weights", "units": "q_units"}).itertuples():
+                if q.q_shard >= row.shard:
+                    before = len(searched)
+                    embeddings._links_of(row, Graph.unpack(x, row.graph), x, q, 0.98)
+                    assert len(searched) > before
+                    met += 1
+    assert met > 40
+    shards.unpersist()
 
 
 def test_embeddings_equal_brute_force(spark, monkeypatch):
