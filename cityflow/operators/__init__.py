@@ -3,6 +3,7 @@
 from .aggregate import daily_fact, daily_stats, peak_slot, slot_counts, top_per_group
 from .calendar import date_spine, dim_date, dim_date_range, numbers, spine_between, with_date_key, with_dim
 from .clean import coerce, keep_dates, keep_range, mask_outside, repair_sign, require, union_conformed
+from .exact import exact_totals
 from .fill import fill_ordered, with_file_order_key, with_order_key
 from .nested import parse_json, rows_as_json, zip_to_rows
 from .numbering import with_dense_number

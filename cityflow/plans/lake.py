@@ -1,6 +1,6 @@
-"""Registered queries of sources and sinks: each writes given tables below the
-shared folder, goes through a reader or writer of the library, and returns
-what is there afterwards, next to the DuckDB SQL of the same rows.
+"""Registered queries of sources, sinks, checks and exact totals: most write given tables below the shared folder, go through a reader or writer of the
+library, and return what is there afterwards, next to the DuckDB SQL of the
+same rows.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import exact_round_sum, hour_text
 from ..operators.clean import keep_dates
+from ..operators.exact import exact_totals
 from ..operators.fill import with_file_order_key
 from ..operators.numbering import with_dense_number
 from ..operators.quality import checked_write, failed_names, rule_mask
@@ -253,3 +254,23 @@ def long_calendar(spark, sf):
     daily = (S.load(spark, sf, "orders").where("o_orderstatus = 'P'").groupBy(F.col("o_orderpriority").alias("k"), F.to_date("o_orderdate").alias("day"))
              .agg(F.max("o_totalprice").alias("v")))
     return densify(daily, "day", ["k"], dt.date(1990, 1, 1), dt.date(2004, 12, 31), unique=True, block=1024)
+
+
+# Units of 10^-12: amounts of 10^18 of both signs beside amounts of 10^-12.
+_UNITS = """(CASE event_id % 5 WHEN 0 THEN (user_id % 7 + 1) * 1000000000000000000000000000000::HUGEINT
+  WHEN 1 THEN -(user_id % 6 + 1) * 1000000000000000000000000000000::HUGEINT WHEN 2 THEN (user_id % 9)::HUGEINT
+  WHEN 3 THEN (user_id % 100) * 500000000000::HUGEINT END)"""
+
+
+@query("exact_sums", f"""
+SELECT event_type, CAST(sum({_UNITS})::VARCHAR || 'e-12' AS DOUBLE) AS total, count({_UNITS}) AS n,
+  CAST(sum(CASE event_id % 5 WHEN 2 THEN {_UNITS} END)::VARCHAR || 'e-12' AS DOUBLE) AS small FROM events GROUP BY event_type""")
+def exact_sums(spark, sf):
+    """Sums over amounts of 10^18 and of 10^-12 in one group, the same for every order of the rows."""
+    k = F.col("event_id") % 5
+    text = (F.when(k == 0, F.concat(F.col("user_id") % 7 + 1, F.lit("e18"))).when(k == 1, F.concat(F.lit("-"), F.col("user_id") % 6 + 1, F.lit("e18")))
+            .when(k == 2, F.concat(F.col("user_id") % 9, F.lit("e-12"))).when(k == 3, ((F.col("user_id") % 100) / 2).cast("string")))
+    events = _events(spark, sf).select("event_type", text.cast("double").alias("amount"), F.when(k == 2, text.cast("double")).alias("tiny"))
+    counts = events.groupBy("event_type").agg(F.count("amount").alias("n"))
+    totals = exact_totals(events, ["event_type"], [("total", "sum", "amount", None), ("small", "sum", "tiny", None)])
+    return totals.join(counts, "event_type").select("event_type", "total", "n", "small")

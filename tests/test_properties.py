@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cityflow.operators.exact import exact_totals
 from cityflow.operators.fill import fill_ordered
 from cityflow.operators.series import densify
 from cityflow.operators.widen import fold_union, full_fold, suffix_columns, widen
@@ -302,3 +303,25 @@ def test_fold_union_is_the_fold_in_one_shuffle(spark):
         fold_union([a.union(a), b], "k").collect()
     with pytest.raises(ValueError, match="same name"):
         fold_union([a, a], "k")
+
+
+def test_exact_totals_of_any_double_in_any_order(spark):
+    from fractions import Fraction
+    rng = random.Random(3)
+    data = [("mix", rng.choice([1, -1]) * rng.random() * 10.0 ** rng.randrange(-30, 40)) for _ in range(400)]
+    data += [("cancel", v) for v in (1e18, 1e-12, -1e18, 1e-12, 5e-324, -5e-324, 1.7e308, -1.7e308)] + [("half", 0.125), ("half", 0.0), ("half", None)]
+    data += [("nan", float("nan")), ("nan", 1.0), ("both", float("inf")), ("both", float("-inf")), ("inf", float("inf")), ("inf", 2.0), ("none", None), (None, 2.5), ("big", 1.7e308), ("big", 1.7e308)]
+    measures = [("s", "sum", "v", None), ("m", "avg", "v", None), ("r", "sum", "v", 2), ("t", "avg", "v", 2)]
+    found = []
+    for seed in range(3):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, "k string, v double").repartition(1 + 2 * seed)
+        found.append({r.k: tuple(r)[1:] for r in exact_totals(df, ["k"], measures).collect()})
+    assert str(found[0]) == str({k: found[1][k] for k in found[0]}) == str({k: found[2][k] for k in found[0]})
+    got, exact = found[0], sum(Fraction(repr(v)) for k, v in data if k == "mix")
+    assert got["mix"][:2] == (float(exact), float(exact / 400))
+    assert got["cancel"][:2] == (2e-12, 2.5e-13) and got["half"] == (0.125, 0.0625, 0.13, 0.06)
+    assert got["none"] == (None,) * 4 and got[None] == (2.5,) * 4 and got["inf"][0] == got["big"][0] == float("inf")
+    assert str(got["nan"][0]) == str(got["both"][0]) == "nan"
+    whole = exact_totals(df.where("k = 'cancel'"), [], measures).collect()
+    assert len(whole) == 1 and whole[0].s == 2e-12
