@@ -17,8 +17,8 @@ from cityflow.llm.common import held_out
 BITS, DIM, GRAMS = 13, 16, (3, 4)
 #: Bytes of text per numpy pass; a longer text is read in pieces.
 PIECE_BYTES = 1 << 20
-#: Labelled rows per language that the fit may gather (its only sample), and languages at most.
-ROWS_PER_LANG, MAX_LANGS = 500, 1000
+#: Labelled rows that the fit may gather (its only sample): of a language, and of all languages together.
+ROWS_PER_LANG, ROWS = 500, 8000
 #: Share of rightly read rows that the rejection threshold may lose; 99 calibration rows resolve it.
 REJECT_SHARE = 0.01
 UNKNOWN = "und"
@@ -27,21 +27,28 @@ UNKNOWN = "und"
 FOLD = np.array([b if b >= 0x80 or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256)], np.uint8)
 
 
-def _pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, row of each segment, segment starts, segment ends): about PIECE_BYTES at a time.
+def _pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, row of each segment, first place, end of its places, end of its bytes): about PIECE_BYTES at a time.
 
-    A segment is a text, or PIECE_BYTES of a long one; runs of spaces are
-    one space, and every segment begins with a space as words do.
+    A segment is a text, or a stretch of a long one; a subword of it begins
+    at one of its places and may reach into the bytes behind them, so that
+    long texts have the subwords they have in one piece. Runs of spaces are
+    one space, and every text begins with a space as words do.
     """
     rows, spans, held = [], [], 0
     for row, (s, e) in enumerate(zip(starts, ends)):
-        for at in range(s, max(e, s + 1), PIECE_BYTES):
-            rows.append(row)
-            spans.append((at, min(e, at + PIECE_BYTES)))
-            held += spans[-1][1] - at
-            if held >= PIECE_BYTES:
-                yield _folded(data, rows, spans)
-                rows, spans, held = [], [], 0
+        if e - s > PIECE_BYTES:
+            flat, _, _, end, _ = _folded(data, [row], [(s, e)])
+            for at in range(0, int(end[0]), PIECE_BYTES):
+                part = flat[at:at + PIECE_BYTES + max(GRAMS) - 1]
+                yield part, np.array([row]), np.array([0]), np.array([min(PIECE_BYTES, len(part))]), np.array([len(part)])
+            continue
+        rows.append(row)
+        spans.append((s, e))
+        held += e - s
+        if held >= PIECE_BYTES:
+            yield _folded(data, rows, spans)
+            rows, spans, held = [], [], 0
     if rows:
         yield _folded(data, rows, spans)
 
@@ -56,7 +63,7 @@ def _folded(data, rows, spans):
     keep = (flat != 32) | (np.concatenate([[0], flat[:-1]]) != 32)
     keep[first] = True
     before = np.concatenate([[0], np.cumsum(keep)])
-    return flat[keep], np.array(rows), before[first], before[first + sizes]
+    return flat[keep], np.array(rows), before[first], before[first + sizes], before[first + sizes]
 
 
 def _hashes(flat: np.ndarray, n: int) -> np.ndarray:
@@ -75,39 +82,44 @@ def subword_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, counts) of a whole text's subwords."""
     data = np.frombuffer(text.encode("utf-8"), np.uint8)
     total = np.zeros(1 << BITS, np.int64)
-    for flat, _, s, e in _pieces(data, np.array([0]), np.array([len(data)])):
-        for a, b in zip(s, e):
+    for flat, _, s, b, e in _pieces(data, np.array([0]), np.array([len(data)])):
+        for first, last, end in zip(s, b, e):
             for n in GRAMS:
-                if b - a >= n:
-                    total += np.bincount(_hashes(flat[a:b], n), minlength=1 << BITS)
+                if min(last, end - n + 1) > first:
+                    total += np.bincount(_hashes(flat[first:min(end, last + n - 1)], n), minlength=1 << BITS)
     buckets = np.flatnonzero(total)
     return buckets.astype(np.int32), total[buckets].astype(np.float32)
 
 
 @dataclass
 class LangModel:
-    """Fitted model: languages, per-bucket logits (embedding times softmax weights), temperature, threshold."""
+    """Fitted model: languages, embeddings of the buckets, softmax weights and bias, temperature, threshold."""
 
     langs: list[str] = field(default_factory=list)
-    table: np.ndarray = field(default_factory=lambda: np.zeros((1 << BITS, 0), np.float32))
+    embed: np.ndarray = field(default_factory=lambda: np.zeros((1 << BITS, DIM), np.float32))
+    weight: np.ndarray = field(default_factory=lambda: np.zeros((DIM, 0), np.float32))
     bias: np.ndarray = field(default_factory=lambda: np.zeros(0))
     temperature: float = 1.0
     threshold: float = 0.0
 
     def logits(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        sums, counts = np.zeros((len(starts), len(self.langs))), np.zeros(len(starts))
-        for flat, rows, s, e in _pieces(data, starts, ends):
+        """Averages of the narrower of embeddings and per-bucket logits; either way the same sums."""
+        narrow = len(self.langs) <= DIM
+        table = (self.embed @ self.weight).astype(np.float32) if narrow else self.embed
+        sums, counts = np.zeros((len(starts), table.shape[1])), np.zeros(len(starts))
+        for flat, rows, s, b, e in _pieces(data, starts, ends):
             for n in GRAMS:
-                stop = e - n + 1
+                stop = np.minimum(b, e - n + 1)
                 some = stop > s
                 if not some.any():
                     continue
-                values = self.table[_hashes(flat, n)]
+                values = table[_hashes(flat, n)]
                 cuts = np.column_stack([s[some], np.minimum(stop[some], len(values))]).ravel()
                 values = np.concatenate([values, np.zeros((1, values.shape[1]), values.dtype)])
                 np.add.at(sums, rows[some], np.add.reduceat(values, cuts, axis=0)[::2].astype(float))
                 np.add.at(counts, rows[some], (stop - s)[some])
-        return sums / np.maximum(counts, 1)[:, None] + self.bias
+        mean = sums / np.maximum(counts, 1)[:, None]
+        return (mean if narrow else mean @ self.weight) + self.bias
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         return _softmax(logits / self.temperature)
@@ -130,10 +142,16 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 25, bat
     langs = sorted({lang for *_, lang in samples})
     if not langs:
         return LangModel()
-    x = np.zeros((len(samples), 1 << BITS), np.float32)
-    for i, (buckets, counts, _) in enumerate(samples):
-        x[i, buckets] = counts / max(1.0, counts.sum())
-    y = np.array([langs.index(lang) for *_, lang in samples])
+
+    def dense(at) -> np.ndarray:
+        """Subword shares of some rows; all others stay sparse."""
+        x = np.zeros((len(at), 1 << BITS), np.float32)
+        for i, k in enumerate(at):
+            buckets, counts, _ = samples[k]
+            x[i, buckets] = counts / max(1.0, counts.sum())
+        return x
+    place = {lang: i for i, lang in enumerate(langs)}
+    y = np.array([place[lang] for *_, lang in samples])
     calibration = np.arange(len(samples)) % 5 == 4
     rows, rng = np.flatnonzero(~calibration), np.random.default_rng(seed)
     embed = rng.normal(0, 1, (1 << BITS, DIM)).astype(np.float32)
@@ -143,7 +161,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 25, bat
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for at in np.array_split(rng.permutation(rows), max(1, len(rows) // batch)):
-            part = x[at]
+            part = dense(at)
             hidden = part @ embed
             error = _softmax(hidden @ weight + bias)
             error[np.arange(len(at)), y[at]] -= 1
@@ -154,9 +172,10 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 25, bat
             used = np.flatnonzero(part.any(axis=0))
             # Rows of the embedding see 1/length of a gradient; the step is scaled back by a typical length.
             embed[used] -= step * 100 * (part[:, used].T @ back)
-    model = LangModel(langs, (embed @ weight).astype(np.float32), bias.astype(float))
+    model = LangModel(langs, embed, weight, bias.astype(float))
     held = np.flatnonzero(calibration) if calibration.any() else rows
-    logits, truth = x[held] @ model.table + model.bias, y[held]
+    logits = np.vstack([dense(at) @ embed @ weight for at in np.array_split(held, max(1, len(held) // 256))]) + model.bias
+    truth = y[held]
     # Platt's smoothed targets: without an error among n rows, a rate of 1 in n + 2 is assumed.
     target = np.full((len(held), len(langs)), 1 / (len(held) + 2) / max(1, len(langs) - 1))
     target[np.arange(len(held)), truth] = (len(held) + 1) / (len(held) + 2)
@@ -173,24 +192,28 @@ SAMPLE = T.StructType([T.StructField("lang", T.StringType()), T.StructField("u",
 
 
 def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          rows_per_lang: int = ROWS_PER_LANG) -> LangModel:
-    """Fits on at most about ``rows_per_lang`` hashed rows of each language.
+          rows_per_lang: int = ROWS_PER_LANG, rows_in_all: int = ROWS) -> LangModel:
+    """Fits on at most about ``rows_per_lang`` hashed rows of each language, and ``rows_in_all`` of all.
 
     Only rows with text and language that are not held out are seen. Their
     whole texts become bucket counts on the executors; those bounded counts
-    are all that reaches the driver, where numpy fits the model. Without such
-    rows the model knows no language.
+    are all that reaches the driver, where numpy fits the model. Many
+    languages share the rows evenly; with more languages than rows, those
+    that no row is drawn of are not learned. Without labelled rows the model
+    knows no language.
     """
     rows = documents.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id")) \
         .where(~held_out("id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    if not counts:
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    langs = sizes.count()
+    if not langs:
         return LangModel()
     scale = 1 << 40
-    limits = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, int(min(1.0, rows_per_lang / n) * scale))])
-    picked = rows.withColumn("u", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(scale))).where(F.col("u") < limits[F.col("lang")])
+    wanted = min(rows_per_lang, rows_in_all / langs)
+    share = sizes.select(F.col("lang").alias("l"), F.least(F.lit(scale), F.floor(F.lit(wanted * scale) / F.col("n"))).alias("limit"))
+    # One row a language: broadcast by measured size, else joined with the rows' skew split.
+    drawn = rows.withColumn("u", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(scale)))
+    picked = drawn.join(share, F.col("lang") == F.col("l")).where(F.col("u") < F.col("limit"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

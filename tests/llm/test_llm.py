@@ -496,13 +496,34 @@ def test_language_edge_cases(odd, empty, clashing):
 
 def test_language_logits_do_not_depend_on_pieces(monkeypatch):
     rng = np.random.default_rng(1)
-    model = langid.LangModel(["a", "b"], rng.normal(size=(1 << langid.BITS, 2)).astype(np.float32), np.zeros(2))
+    model = langid.LangModel(["a", "b"], rng.normal(size=(1 << langid.BITS, langid.DIM)).astype(np.float32), rng.normal(size=(langid.DIM, 2)).astype(np.float32), np.zeros(2))
     raw = [" ".join(words(50, s)).encode() for s in range(20)]
     data = np.frombuffer(b"".join(raw), np.uint8)
     ends = np.cumsum([len(r) for r in raw])
     whole = model.logits(data, ends - [len(r) for r in raw], ends)
     alone = np.vstack([model.logits(np.frombuffer(r, np.uint8), np.array([0]), np.array([len(r)])) for r in raw])
     assert np.allclose(whole, alone)
+    counts = [langid.subword_counts(r.decode()) for r in raw]
+    monkeypatch.setattr(langid, "PIECE_BYTES", 61)  # texts of many pieces have the same subwords
+    assert np.allclose(model.logits(data, ends - [len(r) for r in raw], ends), whole, atol=1e-6)
+    for r, (buckets, n) in zip(raw, counts):
+        again = langid.subword_counts(r.decode())
+        assert (again[0] == buckets).all() and (again[1] == n).all()
+    # More languages than the embedding is wide: sums of embeddings instead of sums of logits.
+    many = langid.LangModel([str(i) for i in range(40)], model.embed, rng.normal(size=(langid.DIM, 40)).astype(np.float32), np.zeros(40))
+    flat = np.frombuffer(raw[0], np.uint8)
+    buckets, n = counts[0]
+    assert np.allclose(many.logits(flat, np.array([0]), np.array([len(flat)]))[0], (n / n.sum()) @ model.embed[buckets] @ many.weight, atol=1e-5)
+
+
+def test_language_of_many_noisy_tags(spark):
+    """Thousands of language tags share the sample; frequent languages are still told apart."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    noisy = spark.range(5000).select((F.col("id") + 10**6).alias("doc_id"), F.concat(F.lit("noise text "), "id").alias("text"), F.concat(F.lit("tag"), "id").alias("lang"))
+    model = langid.train(docs.limit(2000).union(noisy), rows_in_all=600)
+    assert 100 < len(model.langs) < 900 and model.weight.shape == (langid.DIM, len(model.langs))
+    got = langid.identify(docs.limit(50), model).collect()
+    assert len(got) == 50 and all(0 <= r.lang_score <= 1 for r in got)
 
 
 # ------------------------------------------------------------------ Jaccard join
