@@ -198,22 +198,22 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Only rows with text and language that are not held out are seen. Their
     whole texts become bucket counts on the executors; those bounded counts
     are all that reaches the driver, where numpy fits the model. Many
-    languages share the rows evenly; with more languages than rows, those
-    that no row is drawn of are not learned. Without labelled rows the model
+    languages share the rows evenly; with more languages than rows, the most
+    frequent ``rows_in_all`` are learned. Without labelled rows the model
     knows no language.
     """
     rows = documents.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id")) \
         .where(~held_out("id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(rows_in_all)
     langs = sizes.count()
     if not langs:
         return LangModel()
     scale = 1 << 40
     wanted = min(rows_per_lang, rows_in_all / langs)
     share = sizes.select(F.col("lang").alias("l"), F.least(F.lit(scale), F.floor(F.lit(wanted * scale) / F.col("n"))).alias("limit"))
-    # One row a language: broadcast by measured size, else joined with the rows' skew split.
+    # At most ``rows_in_all`` rows of a tag and a number; the texts stay where they are.
     drawn = rows.withColumn("u", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(scale)))
-    picked = drawn.join(share, F.col("lang") == F.col("l")).where(F.col("u") < F.col("limit"))
+    picked = drawn.join(F.broadcast(share), F.col("lang") == F.col("l")).where(F.col("u") < F.col("limit"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
