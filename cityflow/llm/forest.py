@@ -1,4 +1,11 @@
-"""N-gram Jaccard join with a MinHash LSH forest."""
+"""N-gram Jaccard join with a MinHash LSH forest.
+
+Each trie of the forest sorts documents by MinHash values of its own; two
+documents meet where they share a prefix. The prefix begins at the longest
+that gives a pair at the threshold the wanted recall, and is shortened while
+an audit of sampled documents, compared with all others, finds less. Pairs
+that met are verified exactly, in blocks.
+"""
 
 from __future__ import annotations
 
@@ -18,13 +25,15 @@ from cityflow.llm.shingles import grouped_texts, set_digest, shingle_sets
 
 #: Prefix tries, longest prefix of a trie, wanted recall of a pair at the threshold, Jaccard threshold.
 TRIES, LONGEST, RECALL, SIMILARITY = 24, 8, 0.9999, 0.8
-#: Members and shingles of one block of a component.
-BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 400_000
+#: Members and shingles of one block of documents compared together.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 256, 400_000
+#: Documents of the audit's sample, on average, and shingles of a sampled text at most.
+AUDIT_DOCS, AUDIT_SHINGLES = 256, 1 << 14
 
 SIGNED = T.StructType([T.StructField("id", T.LongType()), T.StructField("text_hash", T.LongType()),
                        T.StructField("digest", T.BinaryType()), T.StructField("size", T.IntegerType()),
-                       T.StructField("prefixes", T.ArrayType(T.LongType()))])
-SETS = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("component", T.BinaryType()),
+                       T.StructField("prefixes", T.ArrayType(T.LongType())), T.StructField("near", T.ArrayType(T.BinaryType()))])
+SETS = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("block", T.LongType()),
                      T.StructField("weight", T.LongType()), T.StructField("shingles", T.BinaryType())])
 LINKS = "a binary, b binary, links long"
 
@@ -32,8 +41,8 @@ LINKS = "a binary, b binary, links long"
 def prefix_length(similarity: float = SIMILARITY, tries: int = TRIES, recall: float = RECALL, longest: int = LONGEST) -> int:
     """Longest prefix at which a pair of the given similarity meets in some trie with the wanted recall.
 
-    Going up from full prefixes, the tries' shared prefix is shortened until
-    the share of pairs that meet, 1 - (1 - s^k)^tries, is enough. Everything
+    Where the audit begins: full prefixes are shortened until the expected
+    share of such pairs that meet, 1 - (1 - s^k)^tries, is enough. Everything
     that meets at a longer prefix meets at this one too.
     """
     for k in range(longest, 0, -1):
@@ -67,37 +76,131 @@ def prefix_hashes(sets: list[np.ndarray], tries: int, prefix: int) -> np.ndarray
     return out.view(np.int64)
 
 
-def signatures(documents: DataFrame, id_col: str, text_col: str, tries: int, prefix: int) -> DataFrame:
-    """``SIGNED`` row of each document; digest and prefixes are null without words."""
+class Sample:
+    """Shingle sets of the audit's documents, looked up by shingle."""
+
+    def __init__(self, sets: dict[bytes, np.ndarray]):
+        self.digests = sorted(sets)
+        self.sizes = np.array([len(sets[d]) for d in self.digests], float)
+        flat = np.concatenate([sets[d] for d in self.digests]) if sets else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(self.digests)), self.sizes.astype(int))
+        order = np.argsort(flat, kind="stable")
+        self._shingles, self._owner = flat[order], owner[order]
+
+    def near(self, shingles: np.ndarray, digest: bytes, similarity: float) -> list[bytes]:
+        """The sampled sets with a Jaccard similarity of at least ``similarity`` to another set."""
+        if not len(self._shingles):
+            return []
+        low, high = (np.searchsorted(self._shingles, shingles, side) for side in ("left", "right"))
+        n = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        common = np.bincount(self._owner[at], minlength=len(self.digests))
+        hits = np.flatnonzero(common >= similarity * (self.sizes + len(shingles) - common) - 1e-6)
+        return [self.digests[i] for i in hits if self.digests[i] != digest]
+
+
+def audit_sample(documents: DataFrame, id_col: str, text_col: str, docs: int = AUDIT_DOCS) -> Sample:
+    """About ``docs`` documents drawn by a hash of their id; their shingles reach the driver (2^14 of a text at most, longer texts are not drawn)."""
+    n = documents.count()
+    scale = 1 << 40
+    drawn = documents.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(29)), F.lit(scale)) < F.lit(int(scale * min(1.0, docs / max(n, 1)))))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in grouped_texts(batch.column(0)):
+                sets = [s for s in shingle_sets(texts) if 0 < len(s) <= AUDIT_SHINGLES]
+                yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                                 names=["digest", "shingles"])
+    got = drawn.select(text_col).mapInArrow(read, "digest binary, shingles binary").limit(4 * docs).collect()
+    return Sample({bytes(r.digest): np.frombuffer(bytes(r.shingles), np.uint64) for r in got})
+
+
+def signatures(documents: DataFrame, id_col: str, text_col: str, tries: int, prefix: int, sample: Sample | None = None,
+               similarity: float = SIMILARITY) -> DataFrame:
+    """``SIGNED`` row of each document; digest and prefixes are null without words.
+
+    ``near`` are the sampled sets that the document's set is linked with.
+    """
+    sample = sample or Sample({})
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.binary())]
         for batch in batches:
             for first, texts in grouped_texts(batch.column(2)):
                 sets = shingle_sets(texts)
                 some = [i for i, s in enumerate(sets) if len(s)]
                 keys = dict(zip(some, prefix_hashes([sets[i] for i in some], tries, prefix).tolist())) if some else {}
+                digests = [set_digest(s) if len(s) else None for s in sets]
+                near = [sample.near(s, d, similarity) if d else [] for s, d in zip(sets, digests)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)),
-                     pa.array([set_digest(s) if len(s) else None for s in sets], types[2]),
-                     pa.array([len(s) for s in sets], types[3]), pa.array([keys.get(i) for i in range(len(sets))], types[4])], names=SIGNED.names)
+                     pa.array(digests, types[2]), pa.array([len(s) for s in sets], types[3]),
+                     pa.array([keys.get(i) for i in range(len(sets))], types[4]), pa.array(near, types[5])], names=SIGNED.names)
     return documents.select(F.col(id_col).cast("long"), F.xxhash64(text_col), F.col(text_col)).mapInArrow(sign, SIGNED)
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """``(node, component)`` of classes that meet another in some trie."""
+def audited(signed: DataFrame) -> tuple[int, int]:
+    """(true pairs of sampled with other sets, those of them that meet in some trie)."""
+    pairs = signed.where(F.size("near") > 0).select("digest", "prefixes", F.explode("near").alias("sampled")).dropDuplicates(["digest", "sampled"])
+    # At most four times ``AUDIT_DOCS`` sets.
+    wanted = signed.select(F.col("digest").alias("sampled"), F.col("prefixes").alias("own")).join(
+        F.broadcast(pairs.select("sampled").distinct()), "sampled", "left_semi").dropDuplicates(["sampled"])
+    met = pairs.join(F.broadcast(wanted), "sampled").select(F.arrays_overlap("prefixes", "own").alias("met"))
+    row = met.agg(F.count("*"), F.count_if("met")).first()
+    return row[0], row[1]
+
+
+def planted_forest(documents: DataFrame, similarity: float, tries: int, recall: float, id_col: str, text_col: str) -> DataFrame:
+    """``SIGNED`` rows at the longest prefix that reaches ``recall``: expected at the threshold, and measured by the audit.
+
+    While the audit misses pairs, prefixes are shortened by one value and
+    documents signed again.
+    """
+    sample = audit_sample(documents, id_col, text_col)
+    for prefix in range(prefix_length(similarity, tries, recall), 0, -1):
+        signed = materialise(signatures(documents, id_col, text_col, tries, prefix, sample, similarity), "signatures")
+        true, met = audited(signed)
+        if met >= recall * true:
+            break
+    return signed
+
+
+def _opaque(key: str):
+    """A long key as an expression the planner takes for a new one, so that both sides of a join are shuffled and skew can be split."""
+    return F.col(key).bitwiseXOR(F.lit(0).cast("long")).alias(key)
+
+
+def met_blocks(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes that met another as members of blocks ``(digest, rep, weight, block)``, and the pairs ``(i, j)`` of blocks that met, i <= j.
+
+    A class is at home in the largest bucket (trie and prefix) it shares, so
+    that the members of a group are at home together; a home is cut into
+    blocks of bounded size. Two classes that meet in any bucket belong to
+    blocks that meet in it. A row is made per bucket and pair of blocks, never
+    per pair of classes of a group.
+    """
     met = classes.select("digest", F.explode("prefixes").alias("bucket"))
-    ends = met.groupBy("bucket").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
-    ends = ends.select(F.col("bucket").bitwiseXOR(F.lit(0).cast("long")).alias("bucket"), "low")
-    stars = met.join(ends, "bucket").where("digest <> low").select(F.col("digest").alias("a"), F.col("low").alias("b"))
-    return connected_components(stars)
+    sizes = met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select(_opaque("bucket"), "n")
+    shared = materialise(met.join(sizes, "bucket"), "shared")
+    home = shared.groupBy("digest").agg(F.max(F.struct("n", "bucket")).alias("h")).select("digest", F.col("h.bucket").alias("home"))
+    members = materialise(home.join(classes.select("digest", "rep", "weight", "size"), "digest"), "members")
+    blocks = members.groupBy("home").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")).select(_opaque("home"), "blocks")
+    placed = members.join(blocks, "home").select("digest", "rep", "weight", F.xxhash64("home", F.pmod(F.xxhash64("digest"), F.col("blocks"))).alias("block"))
+    placed = materialise(placed, "placed")
+    seen = shared.select("digest", "bucket").join(placed.select(reshuffled(F.col("digest")).alias("digest"), "block"), "digest").select("bucket", "block").distinct()
+    seen = materialise(seen, "met")
+    other = seen.select(_opaque("bucket"), F.col("block").alias("j"))
+    pairs = seen.withColumnRenamed("block", "i").join(other, "bucket").where("i <= j").select("i", "j").distinct()
+    return placed, materialise(pairs, "block-pairs")
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``SETS`` rows of the wanted classes, their shingles read again from the document of the smallest id."""
     # The wanted classes grow with the corpus, so the join is planned as a shuffle at every size.
-    reps = wanted.select(F.col("rep").alias("__rep"), "digest", "component", "weight").hint("merge")
+    reps = wanted.select(F.col("rep").alias("__rep"), "digest", "block", "weight").hint("merge")
     rows = documents.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")) \
-        .join(reps, F.col("__id").eqNullSafe(F.col("__rep"))).select("__text", "digest", "component", "weight")
+        .join(reps, F.col("__id").eqNullSafe(F.col("__rep"))).select("__text", "digest", "block", "weight")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,8 +236,10 @@ def common_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
 def _link_block(similarity: float):
     """Links inside one pair of blocks: a row per member with links, its parent in a spanning forest and its link weight."""
     def link(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
+        i, j = key
         frame = frame.drop_duplicates("digest").reset_index(drop=True)
+        if len(frame) < 2:
+            return pd.DataFrame({"a": [], "b": [], "links": []})
         sets = [np.frombuffer(b, np.uint64) for b in frame["shingles"]]
         sizes = np.array([len(s) for s in sets], dtype=float)
         common = common_counts(sets)
@@ -159,27 +264,21 @@ def jaccard_classes(documents: DataFrame, similarity: float = SIMILARITY, tries:
     word shingles is at least ``similarity``; ``n_links`` counts the other
     documents linked directly, ``class_id`` is the smallest id reachable by
     links. Documents of equal shingle sets are one class from the start.
-    Classes that share a trie prefix are brought together, each set moving
-    once (or once per block of a large component), and compared exactly;
-    links are counted inside the task, so no row is made per pair. Texts
+    Classes that share a trie prefix are compared exactly, block by block
+    (see :func:`met_blocks`), each set moving once per pair of blocks that
+    met; links are counted inside the task, so no row is made per pair. Texts
     without words link with nothing: ``class_id`` is their own id and digest
     is null. Repeated rows count as documents; null ids are larger than all
     others.
     """
-    signed = materialise(signatures(documents, id_col, text_col, tries, prefix_length(similarity, tries, recall)), "signatures")
+    signed = planted_forest(documents, similarity, tries, recall, id_col, text_col)
     classes = materialise(signed.where("digest is not null").groupBy("digest").agg(
         F.min("id").alias("rep"), F.count("*").alias("weight"), F.first("size").alias("size"), F.first("prefixes").alias("prefixes")), "classes")
-    near = _candidates(classes)
-    wanted = materialise(near.join(classes.drop("prefixes"), F.col("node") == F.col("digest")).select("digest", "component", "rep", "weight", "size"), "near")
-    blocks = wanted.groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    blocks = blocks.select(reshuffled(F.col("component")).alias("component"), "blocks")
-    sets = (_sets(documents, wanted, id_col, text_col).join(blocks, "component")
-            .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}))
-    links = materialise(sets.select("component", "i", "j", "digest", "block", "weight", "shingles")
-                        .groupBy("component", "i", "j").applyInPandas(_link_block(similarity), LINKS), "links")
+    placed, pairs = met_blocks(classes)
+    sides = pairs.select(F.explode(F.array_distinct(F.array("i", "j"))).alias("block"), "i", "j")
+    links = materialise(_sets(documents, placed, id_col, text_col).join(sides, "block")
+                        .select("i", "j", "digest", "block", "weight", "shingles")
+                        .groupBy("i", "j").applyInPandas(_link_block(similarity), LINKS), "links")
     grouped = connected_components(links.select("a", "b"))
     degree = links.groupBy("a").agg(F.sum("links").alias("links"))
     info = (classes.select("digest", "rep", "weight").join(grouped, F.col("digest") == F.col("node"), "left")

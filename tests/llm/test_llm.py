@@ -578,6 +578,40 @@ def test_jaccard_edge_cases(odd, empty, clashing):
     assert Counter(r.text for r in kept.collect())[LONG] == 1
 
 
+def test_audit_shortens_prefixes_until_sampled_pairs_meet(spark, monkeypatch):
+    data = near_copies()
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(forest, "prefix_length", lambda *a: 8)  # far too long for four tries
+    lengths, sign = [], forest.signatures
+    monkeypatch.setattr(forest, "signatures", lambda *a: lengths.append(a[4]) or sign(*a))
+    # The sample holds all these documents, so every pair is audited.
+    got = forest.jaccard_classes(df, tries=4).select("id", "class_id", "n_links")
+    assert rows(got) == brute_jaccard(data) and lengths[0] == 8 and lengths == list(range(8, lengths[-1] - 1, -1)) and len(lengths) > 2
+
+
+def test_sampled_sets_know_their_partners():
+    sets = [np.unique(np.random.default_rng(i).integers(0, 50, 40).astype(np.uint64)) for i in range(30)]
+    sample = forest.Sample({bytes([i]): s for i, s in enumerate(sets[:12])})
+    for i, s in enumerate(sets):
+        want = [bytes([k]) for k in range(12) if k != i and len(np.intersect1d(s, sets[k])) >= 0.5 * len(np.union1d(s, sets[k]))]
+        assert sample.near(s, bytes([i]), 0.5) == want
+    assert forest.Sample({}).near(sets[0], b"x", 0.5) == []
+
+
+def test_blocks_of_a_large_group_stay_small(spark, monkeypatch):
+    """A large group of near copies is cut into blocks; the rows made are bucket and block pairs, far fewer than pairs of copies."""
+    monkeypatch.setattr(forest, "BLOCK_MEMBERS", 20)
+    base = words(120, 77)
+    data = [(i, " ".join(base[:i % 60] + [f"own{i}"] + base[i % 60 + 1:])) for i in range(300)] + [(1000 + i, " ".join(words(50, 500 + i))) for i in range(50)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    assert rows(forest.jaccard_classes(df).select("id", "class_id", "n_links")) == brute_jaccard(data)
+    signed = forest.signatures(df, "doc_id", "text", 24, 5)
+    classes = signed.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("weight"), F.first("size").alias("size"), F.first("prefixes").alias("prefixes"))
+    placed, pairs = forest.met_blocks(classes)
+    assert placed.groupBy("block").count().agg(F.max("count")).first()[0] < 60 and placed.where("rep >= 1000").count() == 0
+    assert pairs.count() < 300 * 299 / 2 / 20
+
+
 def test_shingles_of_long_texts_do_not_depend_on_pieces():
     text = LONG * 4
     w = text.split()
