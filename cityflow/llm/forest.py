@@ -26,7 +26,7 @@ from cityflow.llm.shingles import grouped_texts, set_digest, shingle_sets
 #: Prefix tries, longest prefix of a trie, wanted recall of a pair at the threshold, Jaccard threshold.
 TRIES, LONGEST, RECALL, SIMILARITY = 24, 8, 0.9999, 0.8
 #: Members and shingles of one block of documents compared together.
-BLOCK_MEMBERS, BLOCK_SHINGLES = 256, 400_000
+BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 400_000
 #: Documents of the audit's sample, on average, and shingles of a sampled text at most.
 AUDIT_DOCS, AUDIT_SHINGLES = 256, 1 << 14
 
@@ -173,20 +173,26 @@ def _opaque(key: str):
 def met_blocks(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes that met another as members of blocks ``(digest, rep, weight, block)``, and the pairs ``(i, j)`` of blocks that met, i <= j.
 
-    A class is at home in the largest bucket (trie and prefix) it shares, so
-    that the members of a group are at home together; a home is cut into
-    blocks of bounded size. Two classes that meet in any bucket belong to
-    blocks that meet in it. A row is made per bucket and pair of blocks, never
-    per pair of classes of a group.
+    Classes that are reachable by meetings are cut into blocks of bounded
+    size. A class is at home in the largest bucket (trie and prefix) it
+    shares; small homes stay in one block, so that in a large loose component
+    few pairs of blocks meet, and only those are compared. A large home is a
+    dense group and spread evenly. A row is made per bucket and pair of
+    blocks, never per pair of classes.
     """
     met = classes.select("digest", F.explode("prefixes").alias("bucket"))
-    sizes = met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select(_opaque("bucket"), "n")
+    sizes = met.groupBy("bucket").agg(F.count("*").alias("n"), F.min("digest").alias("low")).where("n > 1").select(_opaque("bucket"), "n", "low")
     shared = materialise(met.join(sizes, "bucket"), "shared")
-    home = shared.groupBy("digest").agg(F.max(F.struct("n", "bucket")).alias("h")).select("digest", F.col("h.bucket").alias("home"))
-    members = materialise(home.join(classes.select("digest", "rep", "weight", "size"), "digest"), "members")
-    blocks = members.groupBy("home").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")).select(_opaque("home"), "blocks")
-    placed = members.join(blocks, "home").select("digest", "rep", "weight", F.xxhash64("home", F.pmod(F.xxhash64("digest"), F.col("blocks"))).alias("block"))
+    home = shared.groupBy("digest").agg(F.max(F.struct("n", "bucket")).alias("home"))
+    near = connected_components(shared.where("digest <> low").select(F.col("digest").alias("a"), F.col("low").alias("b")))
+    members = (home.join(near, F.col("digest") == F.col("node")).drop("node")
+               .join(classes.select(F.col("digest").alias("d"), "rep", "weight", "size"), F.col("digest") == F.col("d")).drop("d"))
+    members = materialise(members, "members")
+    blocks = members.groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    blocks = blocks.select(reshuffled(F.col("component")).alias("component"), "blocks")
+    spread = F.when(F.col("home.n") * 2 <= BLOCK_MEMBERS, F.xxhash64("home.bucket")).otherwise(F.xxhash64("digest"))
+    placed = members.join(blocks, "component").select("digest", "rep", "weight", F.xxhash64("component", F.pmod(spread, F.col("blocks"))).alias("block"))
     placed = materialise(placed, "placed")
     seen = shared.select("digest", "bucket").join(placed.select(reshuffled(F.col("digest")).alias("digest"), "block"), "digest").select("bucket", "block").distinct()
     seen = materialise(seen, "met")
