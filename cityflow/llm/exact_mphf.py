@@ -32,14 +32,15 @@ def digest_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                      F.length(text).cast("long").alias("n_code_points"))
 
 
-def winners(rows: DataFrame) -> DataFrame:
-    """Distinct digests with group size and the locator of the row that stays.
+def _rank(n_code_points: Column, id_: Column) -> Column:
+    """Greatest for the row that stays: most code points, then the smallest id; a null id loses to any other."""
+    return F.struct(n_code_points.alias("n_code_points"), id_.isNotNull().alias("known"), F.bitwise_not(id_).alias("minus"))
 
-    Most code points win, then the smallest id; a null id loses to any other.
-    """
-    best = F.max(F.struct("n_code_points", F.col("id").isNotNull().alias("known"), (-F.col("id")).alias("minus")))
-    out = rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size"))
-    return out.select("digest", (-F.col("best.minus")).alias("keep_id"),
+
+def winners(rows: DataFrame) -> DataFrame:
+    """Distinct digests with group size and the locator of the row that stays (see :func:`_rank`)."""
+    out = rows.groupBy("digest").agg(F.max(_rank(F.col("n_code_points"), F.col("id"))).alias("best"), F.count("*").alias("group_size"))
+    return out.select("digest", F.bitwise_not("best.minus").alias("keep_id"),
                       F.col("best.n_code_points").alias("keep_code_points"), "group_size")
 
 
@@ -175,11 +176,36 @@ def dedup(rows: DataFrame, index: DataFrame) -> DataFrame:
         .withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
 
 
+def dedup_with_past(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Each row of ``rows`` with its group over past and new rows together.
+
+    ``rows`` has a column ``past``: the index was built of just these rows.
+    Every row is looked up. Members, past rows and new ones whose digest the
+    index has, take the better of the index's winner and the best new member;
+    nonmembers are grouped apart. Otherwise as :func:`dedup`.
+    """
+    found = materialise(lookup(rows, index), "mphf-lookup")
+    members = found.where("hit is not null")
+    late = winners(members.where("not past")).select(
+        F.substring("digest", 1, 64).alias("digest"), F.col("keep_id").alias("late_id"),
+        F.col("keep_code_points").alias("late_code_points"), F.col("group_size").alias("late_size"))
+    known, new = _rank(F.col("hit.keep_code_points"), F.col("hit.keep_id")), _rank(F.col("late_code_points"), F.col("late_id"))
+    merged = members.join(late, "digest", "left").select(
+        "id", "digest", F.when(F.coalesce(F.col("late_size"), F.lit(0)) == 0, F.col("hit.keep_id"))
+        .when(new > known, F.col("late_id")).otherwise(F.col("hit.keep_id")).alias("keep_id"),
+        (F.col("hit.group_size") + F.coalesce("late_size", F.lit(0))).alias("group_size"))
+    rest = found.where("hit is null").drop("hit")
+    own = winners(rest).select(F.substring("digest", 1, 64).alias("digest"), "keep_id", "group_size")
+    return merged.union(rest.join(own, "digest").select("id", "digest", "keep_id", "group_size")) \
+        .withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
+
+
 def op6_exact_dedup(documents: DataFrame) -> DataFrame:
-    """The contract's rows: the table is its own history, so every row is looked up in the index."""
-    rows = materialise(digest_rows(documents), "digests")
-    index = materialise(build_index(winners(rows)), "mphf")
-    out = dedup(rows, index)
+    """The contract's rows. Half of the ids (by a hash) are the history the index is built of; all rows are looked up in it."""
+    past = F.pmod(F.xxhash64("id", F.lit(6)), F.lit(2)) == 0
+    rows = materialise(digest_rows(documents).withColumn("past", past), "digests")
+    index = materialise(build_index(winners(rows.where("past"))), "mphf")
+    out = dedup_with_past(rows, index)
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
                       F.lower(F.hex("digest")).alias("text_sha256"))
 

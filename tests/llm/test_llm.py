@@ -321,6 +321,23 @@ def test_exact_dedup_equals_brute_force(odd, empty, clashing, spark):
     assert exact_mphf.op6_exact_dedup(empty).count() == 0
     data = [(i, f"text {i % 700}" + " " * (i % 3)) for i in range(2000)]
     assert rows(exact_mphf.op6_exact_dedup(spark.createDataFrame(data, "doc_id long, text string"))) == brute_exact(data)
+    ends = [(-2**63, "end"), (2**63 - 1, "end"), (0, " end"), (-2**63, "low"), (None, "low"), (5, "other")]
+    assert rows(exact_mphf.op6_exact_dedup(spark.createDataFrame(ends, "doc_id long, text string"))) == brute_exact(ends)
+
+
+def test_history_and_new_rows_share_groups(spark):
+    """Groups within the past, within the new rows and across both; the winner on either side."""
+    rng = random.Random(8)
+    data = [(i, rng.choice("abcdefgh") * rng.randint(1, 2) + " " * rng.randint(0, 3)) for i in range(60)] + [(i, f"only {i}") for i in range(100, 120)]
+    frame = exact_mphf.digest_rows(spark.createDataFrame(data, "doc_id long, text string"))
+    want = [(d, k, n, kept) for d, k, n, kept, _ in brute_exact(data)]
+    for past in ("id % 2 = 0", "id < 30", "true", "false"):
+        marked = frame.withColumn("past", F.expr(past))
+        index = exact_mphf.materialise(exact_mphf.build_index(exact_mphf.winners(marked.where("past"))), "index")
+        got = exact_mphf.dedup_with_past(marked, index)
+        assert rows(got.select("id", "keep_id", "group_size", "kept")) == sorted(want, key=repr)
+        hits = exact_mphf.lookup(marked, index).where("hit is null").count()
+        assert hits == (80 if past == "false" else marked.where("not past").join(marked.where("past"), "digest", "left_anti").count())
 
 
 def test_perfect_hash_is_minimal_and_rejects_others(spark):
