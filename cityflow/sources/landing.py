@@ -31,8 +31,14 @@ def land_new_files(spark: SparkSession, source: str, schema, target: str, checkp
 
 
 def row_digest(df: DataFrame, cols=None) -> Column:
-    """128 bits of all values of a row, nulls apart from empty texts; equal rows have equal digests."""
-    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols or df.columns]), {"ignoreNullFields": "false"}))
+    """128 bits of all values of a row, nulls apart from empty texts; equal rows have equal digests.
+
+    Times count to the microsecond, and a negative zero is a zero, as in ``dropDuplicates``.
+    """
+    kinds = dict(df.dtypes)
+    values = [(F.col(f"`{c}`") + F.lit(0.0).cast(kinds[c])).alias(c) if kinds[c] in ("float", "double") else F.col(f"`{c}`") for c in cols or df.columns]
+    return F.md5(F.to_json(F.struct(*values), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                                               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}))
 
 
 def append_distinct(df: DataFrame, table: str, buckets: int = 64, path: str | None = None) -> int:

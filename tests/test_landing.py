@@ -134,6 +134,14 @@ def test_append_distinct_moves_new_rows_only(spark, scratch):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_row_digest_tells_apart_what_drop_duplicates_does(spark):
+    moment = dt.datetime(2024, 1, 1, 1, 2, 3)
+    data = [(moment, 0.0, "", None), (moment.replace(microsecond=1), 0.0, "", None), (moment, -0.0, "", None), (moment, 0.0, None, ""), (moment, 0.0, "", None),
+            (None, float("nan"), "null", "x"), (None, float("nan"), "null", "x"), (None, None, "null", "x")]
+    df = spark.createDataFrame(data, "t timestamp, d double, a string, b string").withColumn("n", F.col("t").cast("timestamp_ntz")).withColumn("s", F.struct("t", "a"))
+    assert df.withColumn(DIGEST, row_digest(df)).select(DIGEST).distinct().count() == df.dropDuplicates().count() == 5
+
+
 # --------------------------------------------------------- dense numbers
 def test_dense_numbers_follow_files_and_integers(spark, scratch):
     for i in range(7):
