@@ -18,8 +18,6 @@ from cityflow.llm.common import held_out, materialise
 
 #: Bins per feature, bins per side of a pair, pairs kept, labelled rows the fit may gather.
 BINS, PAIR_BINS, PAIRS, SAMPLE_ROWS = 32, 8, 6, 20_000
-#: Words looked at together by the repetition features; a longer text is averaged over such windows.
-WINDOW_WORDS = 4096
 
 FEATURES = ["log_chars", "log_words", "word_chars", "long_words", "upper", "digits", "punct", "symbols", "symbol_tail",
             "non_ascii", "spaces", "line_words", "short_lines", "dup_lines", "distinct_words", "same_next", "top_word", "end_mark"]
@@ -38,13 +36,8 @@ def text_features(text: str | None) -> list[float]:
     kinds = np.bincount(_KIND[np.frombuffer(raw, np.uint8)], minlength=7) / max(1, len(raw))
     words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
     n = max(1, len(words))
-    distinct = same = top = 0.0
-    for at in range(0, len(words), WINDOW_WORDS):
-        part = words[at:at + WINDOW_WORDS]
-        counts = Counter(part)
-        distinct += len(counts)
-        top += counts.most_common(1)[0][1]
-        same += sum(map(str.__eq__, part, part[1:]))
+    counts = Counter(words)
+    distinct, top, same = len(counts), max(counts.values(), default=0), sum(map(str.__eq__, words, words[1:]))
     sizes = [len(x.split()) for x in lines]
     return [np.log1p(len(text)), np.log1p(len(words)), len(text) / n, sum(len(w) > 12 for w in words) / n, kinds[1], kinds[2],
             kinds[3], kinds[4], sum(w[-1] in "#$%&*!|" for w in words) / n, kinds[5], kinds[6],

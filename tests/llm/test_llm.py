@@ -208,6 +208,18 @@ def test_additive_model_learns_an_interaction_and_scores_every_row(spark, odd, e
     assert len(got) == len(ODD) and {r.score for r in got} == {0.5} and gam.op4_quality(empty, none).count() == 0
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 13)] + [(3, None), (None, 1), (4, 0)], "doc_id long, quality int")
     assert all(0 <= r.score <= 1 for r in gam.op4_quality(odd, labels).collect())
+    extra = [F.lit("x").alias(c) for c in (*CLASHES, "features", "y", "predicted", "quality")]
+    assert rows(gam.op4_quality(odd.select("*", *extra), labels)) == rows(gam.op4_quality(odd, labels))
+
+
+def test_repetition_features_read_whole_texts():
+    """A word is distinct once however long the text is, and repeats across any distance count."""
+    once = [f"w{i}" for i in range(6000)]
+    at = {f: gam.FEATURES.index(f) for f in ("distinct_words", "top_word", "same_next")}
+    alone, twice = gam.text_features(" ".join(once)), gam.text_features(" ".join(once + once))
+    assert alone[at["distinct_words"]] == 1 and twice[at["distinct_words"]] == 0.5
+    assert twice[at["top_word"]] == 2 / 12000 and twice[at["same_next"]] == 0
+    assert gam.text_features(" ".join(once + once[-1:]))[at["same_next"]] == 1 / 6001
 
 
 def test_quality_on_held_out_rows(spark):
