@@ -42,7 +42,7 @@ def _tree_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                                    F.xxhash64("masked").alias("line"))
 
 
-def _templates(documents: DataFrame, found: DataFrame, seen: DataFrame, min_docs: int, id_col: str, text_col: str) -> DataFrame:
+def _templates(documents: DataFrame, found: DataFrame, each: DataFrame, min_docs: int, id_col: str, text_col: str) -> DataFrame:
     """``(leaf, line, template)`` of the distinct lines that belong to a template of their leaf.
 
     Only leaves with several different lines and at least ``min_docs``
@@ -54,11 +54,12 @@ def _templates(documents: DataFrame, found: DataFrame, seen: DataFrame, min_docs
     position that holds its most frequent token not shared by all, until no
     two lines share one. The tokens are read again from one document per line.
     """
-    wide = (seen.groupBy("leaf", "line").agg(F.count("*").alias("docs")).groupBy("leaf")
-            .agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
+    wide = (each.groupBy("leaf").agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
             .where((F.col("lines") > 1) & (F.col("docs") >= min_docs)).select(_opaque(F.col("leaf")).alias("leaf")))
     place = F.min(F.struct("id", "text_hash", "pos")).alias("place")
-    wanted = found.join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(place, F.count("*").alias("sightings"))
+    # The lines of a hot leaf are grouped apart from each other, not where the join by leaf put them.
+    wanted = (found.join(wide, "leaf", "left_semi").withColumn("leaf", _opaque(F.col("leaf"))).groupBy("leaf", "line")
+              .agg(place, F.count("*").alias("sightings")))
     wanted = wanted.groupBy(F.col("place.id").alias("__id"), F.col("place.text_hash").alias("__hash")).agg(
         F.collect_list(F.struct(F.col("place.pos").alias("pos"), "leaf", "line", "sightings")).alias("wanted"))
     text = F.col(text_col)
@@ -112,17 +113,20 @@ def recurring_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str
     one document, before all others.
     """
     found = materialise(_tree_rows(documents, id_col, text_col), "lines")
-    seen = materialise(found.select("leaf", "line", "id").distinct(), "lines-seen")
-    names = materialise(_templates(documents, found, seen, min_docs, id_col, text_col), "templates")
-    name = F.coalesce("template", "line")
-    known = lambda df: df.join(names.withColumnsRenamed({"leaf": "l", "line": "i"}), F.col("leaf").eqNullSafe(F.col("l")) & (F.col("line") == F.col("i")), "left")
-    kind = F.col("template").isNotNull()
-    spread = (known(seen).select("leaf", name.alias("name"), kind.alias("kind"), "id").distinct().groupBy("leaf", "name", "kind")
-              .agg(F.count("*").alias("docs"), F.min("id").alias("first"), F.count_if(F.col("id").isNull()).alias("nulls"))
-              .where(F.col("docs") >= min_docs))
-    spread = spread.select(_opaque(F.col("leaf")).alias("leaf"), "name", "kind", F.when(F.col("nulls") == 0, F.col("first")).alias("first"))
-    gone = (known(found).select("id", "text_hash", "pos", "leaf", name.alias("name"), kind.alias("kind"))
-            .join(spread, ["leaf", "name", "kind"]).where(~F.col("id").eqNullSafe(F.col("first"))))
+    spread = [F.count("*").alias("docs"), F.when(F.count_if(F.col("id").isNull()) == 0, F.min("id")).alias("first")]
+    each = materialise(found.select("leaf", "line", "id").distinct().groupBy("leaf", "line").agg(*spread), "lines-each")
+    names = materialise(_templates(documents, found, each, min_docs, id_col, text_col), "templates")
+    apart = lambda df: df.withColumnsRenamed({"leaf": "l", "line": "i"}).withColumns({"l": _opaque(F.col("l")), "i": _opaque(F.col("i"))})
+    same_line = (F.col("leaf") == F.col("l")) & (F.col("line") == F.col("i"))
+    # Lines of a template are judged with it, the others alone; only lines that may go meet the rows again.
+    alone = each.where(F.col("docs") >= min_docs).join(apart(names), same_line, "left_anti")
+    members = names.select("leaf", "line", "template", F.lit(None).cast(each.schema["first"].dataType).alias("first"))
+    likely = apart(members.unionByName(alone.select("leaf", "line", F.lit(None).cast("long").alias("template"), "first")))
+    hits = materialise(found.join(likely, same_line).select("id", "text_hash", "pos", "leaf", "template", "first"), "lines-likely")
+    whole = (hits.where("template is not null").select("leaf", "template", "id").distinct().groupBy("leaf", "template").agg(*spread)
+             .where(F.col("docs") >= min_docs).select(_opaque(F.col("leaf")).alias("leaf"), _opaque(F.col("template")).alias("template"), "first"))
+    gone = hits.where("template is null").select("id", "text_hash", "pos", "first").union(
+        hits.drop("first").join(whole, ["leaf", "template"]).select("id", "text_hash", "pos", "first")).where(~F.col("id").eqNullSafe(F.col("first")))
     return gone.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
 
