@@ -12,6 +12,8 @@ from cityflow.llm.common_lines import LINE_SPACE, lines_of, without_lines
 DEPTH = 3
 #: A line belongs to its leaf's template if this share (in tenths) of its tokens agrees.
 SIMILAR_TENTHS = 7
+#: Lines that missed their group's template stay together if one in so many lines of the group joined it.
+STAY_SHARE = 10
 #: A template recurs if so many documents have it.
 MIN_DOCS = 3
 
@@ -49,10 +51,13 @@ def _templates(documents: DataFrame, found: DataFrame, each: DataFrame, min_docs
     sightings can yield one. In such a leaf each position's most frequent
     token over the different lines (ties: the smallest) is the template's
     token; a line agreeing in enough positions joins it, its other positions
-    being variable. The lines that missed it are a group of their own for the
-    next round; a group that none joined is split by the tokens of the
-    position that holds its most frequent token not shared by all, until no
-    two lines share one. The tokens are read again from one document per line.
+    being variable. Where a tenth of a group joined, the lines that missed are
+    a group of their own for the next round; otherwise they are split by the
+    tokens of the position that holds the group's most frequent token not
+    shared by all, until no two lines share one. So a group shrinks by a tenth
+    or gains a fixed position in every round, and rounds grow with the
+    logarithm of a leaf's lines and with its tokens, not with its templates.
+    The tokens are read again from one document per line.
     """
     wide = (each.groupBy("leaf").agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
             .where((F.col("lines") > 1) & (F.col("docs") >= min_docs)).select(_opaque(F.col("leaf")).alias("leaf")))
@@ -76,10 +81,10 @@ def _templates(documents: DataFrame, found: DataFrame, each: DataFrame, min_docs
         judged = materialise(_judged(rest, min_docs), "template-round")
         joined = judged.where("joins").select("leaf", "line", F.col("group").alias("template"))
         names = joined if names is None else names.unionAll(joined)
-        some = judged.groupBy("group").agg(F.max("joins").alias("any")).select(_opaque(F.col("group")).alias("group"), "any")
-        again = F.when(F.col("any"), F.xxhash64("group", F.lit(at))).otherwise(
+        some = judged.groupBy("group").agg((F.count_if("joins") * STAY_SHARE >= F.count("*")).alias("stay")).select(_opaque(F.col("group")).alias("group"), "stay")
+        again = F.when(F.col("stay"), F.xxhash64("group", F.lit(at))).otherwise(
             F.xxhash64("group", F.lit(at), "split", F.get("tokens", F.col("split"))))
-        rest = materialise(judged.where("not joins").join(some, "group").where(F.col("any") | F.col("split").isNotNull()).select(
+        rest = materialise(judged.where("not joins").join(some, "group").where(F.col("stay") | F.col("split").isNotNull()).select(
             "leaf", "line", "sightings", again.alias("group"), "tokens"), "template-rest")
         at += 1
     return names

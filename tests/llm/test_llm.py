@@ -122,6 +122,16 @@ def test_templates_of_one_leaf(spark):
     assert drop(mixed) == {i: int(i % 3 > 0) for i in range(12)}
 
 
+def test_many_templates_of_one_leaf_take_few_rounds(spark, monkeypatch):
+    rounds, judged = [], templates._judged
+    monkeypatch.setattr(templates, "_judged", lambda *args: rounds.append(1) or judged(*args))
+    names = [a + b for a in "bcdfgh" for b in "aeiouy"]
+    lines = [f"job run for {t} by {t}{k} was {t}q {t}r ok" for t in names for k in ("x", "xx", "xxx")]
+    got = {r.doc_id: r.n_dropped for r in templates.drop_recurring(
+        spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()}
+    assert got == {i: int(i % 3 > 0) for i in range(len(lines))} and len(rounds) <= 3
+
+
 def brute_templates(data, least=3):
     """(id, lines dropped, text) of every row: leaves by token count and leading tokens, modal templates in rounds, splits."""
     def masked(line):
@@ -151,13 +161,13 @@ def brute_templates(data, least=3):
             for x in joins:
                 names[leaf, x] = ("template", number)
             number += 1
-            if joins:
+            if len(joins) * templates.STAY_SHARE >= len(group):
                 groups.append(group - joins)
             else:
                 odd = [(max(c.values()), -k) for k, c in enumerate(counts) if 1 < max(c.values()) < len(group)]
                 if odd:
                     at = -max(odd)[1]
-                    groups += [{x for x in group if x[at] == token} for token in counts[at]]
+                    groups += [{x for x in group - joins if x[at] == token} for token in counts[at]]
     spread = defaultdict(set)
     for (doc, _), found in places.items():
         for _, leaf, line in found:
